@@ -3,22 +3,132 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tagloom.llm.common import scratch_path
+from tagloom.llm.decontaminate import find_leaks
+from tagloom.llm.line_dedup import line_classes
+from tagloom.llm.mixing import taken_words
 from tagloom.llm.ngram_join import ngram_jaccard_join
+from tagloom.llm.quality_rules import STOP_WORDS, with_quality
+from tagloom.llm.sharding import ShardStore
+from tagloom.llm.url_filter import UrlRule, filter_urls
+from tagloom.llm.warc import archive_pages
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = with_quality(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *(f"quality.{f}" for f in fields))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+URL_RULES = [
+    UrlRule("allow", "org/"),
+    UrlRule("block", "example.org/es/"),
+    UrlRule("block", "example.org/en/1"),
+    UrlRule("allow", "com/fr/"),
+    UrlRule("block", "com/de/"),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled as the document that its url names by number."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    bad = _table(spark, sf_dir, "labels").select("doc_id", ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    numbered = pages.withColumn("doc_id", F.try_to_number(F.regexp_extract("url", r"://[^/]*/[a-z]+/(\d+)", 1), F.lit("9" * 18)).cast("long"))
+    return filter_urls(pages, numbered.join(bad, "doc_id").select("url", "bad"), URL_RULES)
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_jaccard_join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = ShardStore(spark, scratch_path(spark, "shards"))
+    store.append(_table(spark, sf_dir, "documents"))
+    store.compact_all()
+    store.expire()
+    return store.read().select("doc_id", "n_chars", "shard", "tier", "shard_rows", "shard_bytes")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_classes(_table(spark, sf_dir, "documents")).drop("text_key")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_decontamination": op3_decontamination,
+    "op4_url_filter": op4_url_filter,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op7_sharding": op7_sharding,
+    "op9_mixing": op9_mixing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p
+        ), m AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last_id FROM d
+        )
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+        FROM m
+    """,
+    "op2_quality_rules": r"""
+        WITH w AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+            FROM documents
+        ), g AS (
+            SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS gram
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)
+        ), twice AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(8)) AS k) GROUP BY doc_id
+        ), m AS (
+            SELECT doc_id, len(ws)::BIGINT AS n_words,
+                   coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                   (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+                   coalesce(n, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines,
+                   len(list_filter(ws, lambda x: list_contains({stop}, lower(x)))) AS n_stop
+            FROM w LEFT JOIN covered USING (doc_id)
+        ), b AS (
+            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 100 * word_chars < 150 * n_words OR 100 * word_chars > 2000 * n_words
+                    OR 100 * n_symbols > 10 * n_words OR 100 * n_stop < n_words OR 100 * n_dup_lines > 50 * n_lines
+                    OR 100 * n_words < 100 * n_lines) AS kept
+        FROM b
+    """.replace("{stop}", str(sorted(set(STOP_WORDS)))),
     "op5_ngram_jaccard_join": r"""
         WITH RECURSIVE w AS (
-            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
         ), g AS (
             SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS gram
             FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
