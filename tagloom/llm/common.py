@@ -48,6 +48,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def semi_join(rows: DataFrame, keys: DataFrame, on: str, limit: int = 1_000_000) -> DataFrame:
+    """Rows whose key is in the distinct column ``keys``: broadcast up to ``limit`` keys, else shuffled."""
+    return rows.join(F.broadcast(keys) if keys.count() <= limit else keys, on, "left_semi")
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body`` as a variable.
 
@@ -72,8 +77,9 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     joins whose result is written to the shared folder. The component is the
     smallest node in it.
     """
-    both = edges.where("src <> dst").select("src", "dst").union(edges.where("src <> dst").select("dst", "src"))
-    both = materialise(both.distinct(), f"{name}-edges")
+    links = materialise(edges.where("src <> dst").select("src", "dst").distinct(), f"{name}-edges")
+    way = lambda a, b: F.struct(F.col(a).alias("src"), F.col(b).alias("dst"))
+    both = links.select(F.explode(F.array(way("src", "dst"), way("dst", "src"))).alias("e")).select("e.*")
     labels = materialise(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low")).select("node", F.least("node", "low").alias("component")), f"{name}-labels")
     while True:
         seen = (

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import connected_components, gram_hashes, hash_spans, materialise, mix, split_words, text_slices
+from tagloom.llm.common import connected_components, gram_hashes, hash_spans, materialise, mix, semi_join, split_words, text_slices
 
 SIGNATURE = "doc_id long, text_key long, digest binary, n_grams int, bands array<long>"
 
@@ -199,20 +199,21 @@ def ngram_jaccard_join(
         .agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.first("bands").alias("bands"))
     )
     nodes = materialise(nodes, "join-nodes")
-    members = nodes.select("digest", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.count("*").alias("n"), F.min("digest").alias("hub")).where("n > 1")
-    stars = members.join(shared, "band").where("digest <> hub").select(F.col("digest").alias("src"), F.col("hub").alias("dst"))
+    # 64 bits name a text here: if two share them, sets that do not match are compared, no more
+    members = nodes.select(F.xxhash64("digest").alias("node"), F.explode("bands").alias("band"))
+    shared = members.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1")
+    stars = members.join(shared, "band").where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst"))
     components = connected_components(stars, "join-candidates")
 
     # blocks of a candidate component, and the pairs of blocks each text takes part in
     sized = components.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     placed = (
         components.join(sized, "component")
-        .join(nodes, F.col("node") == F.col("digest"))
+        .join(nodes, F.col("node") == F.xxhash64("digest"))
         .select("component", "digest", "copies", "text_key", "bands", "parts", F.pmod(F.xxhash64("digest"), F.col("parts").cast("long")).cast("int").alias("part"))
     )
     placed = materialise(placed, "join-placed")
-    wanted = docs.select("text", F.xxhash64("text").alias("text_key")).join(placed.select("text_key").distinct(), "text_key", "left_semi")
+    wanted = semi_join(docs.select("text", F.xxhash64("text").alias("text_key")), placed.select("text_key").distinct(), "text_key")
     sets = _gram_sets(wanted.dropDuplicates(["text_key", "text"]), gram).dropDuplicates(["digest"])
     dealt = (
         placed.join(sets, "digest")
