@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.llm import quality_mil, toxicity
 from tagloom.llm.common import scratch_path
 from tagloom.llm.decontaminate import find_leaks
 from tagloom.llm.line_dedup import line_classes
 from tagloom.llm.mixing import taken_words
 from tagloom.llm.ngram_join import ngram_jaccard_join
+from tagloom.llm.quality_mil import held_out
 from tagloom.llm.quality_rules import STOP_WORDS, with_quality
 from tagloom.llm.sharding import ShardStore
 from tagloom.llm.url_filter import UrlRule, filter_urls
@@ -55,6 +57,15 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def _judged(scored: DataFrame, bar: float) -> DataFrame:
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= bar).cast("int").alias("predicted"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return _judged(quality_mil.score_quality(docs, quality_mil.fit(docs, labels)), 0.5)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = ShardStore(spark, scratch_path(spark, "shards"))
     store.append(_table(spark, sf_dir, "documents"))
@@ -63,6 +74,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read().select("doc_id", "n_chars", "shard", "tier", "shard_rows", "shard_bytes")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return _judged(toxicity.score_toxicity(docs, toxicity.fit(docs, labels)), toxicity.DECISION)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_classes(_table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -77,7 +93,9 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_url_filter": op4_url_filter,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_sharding": op7_sharding,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
 }
