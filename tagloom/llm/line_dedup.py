@@ -20,48 +20,37 @@ def threshold(length: Column, max_edits: int, min_segment: int) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(max_edits), F.floor(length / min_segment).cast("int") - 1))
 
 
-def _segment(length: Column, edits: Column, number: Column) -> tuple[Column, Column]:
-    """Start and length of one of ``edits`` + 1 near-equal segments, counted from 1."""
-    base = F.floor(length / (edits + 1)).cast("int")
-    short = edits + 1 - (length - base * (edits + 1))  # so many are one shorter
-    start = (number - 1) * base + F.greatest(F.lit(0), number - 1 - short) + 1
-    return start.cast("int"), (base + F.when(number > short, 1).otherwise(0)).cast("int")
+def _keys(line: Column, max_edits: int, min_segment: int, gaps: range, shifts: bool) -> Column:
+    """Keys (length, number, segment) of the segments that lines ``gap`` shorter may have.
 
-
-def _key(length: Column, number: Column, part: Column) -> Column:
-    return F.xxhash64(length, number, part)
+    Thresholds are few, so every case is its own expression, null where it does
+    not apply; plain expressions compile, nested lambdas would not.
+    """
+    keys = []
+    for gap in gaps:
+        length = F.length(line) - gap
+        allowed = threshold(length, max_edits, min_segment)
+        for edits in range(max(1, gap), max_edits + 1):
+            base = F.floor(length / (edits + 1)).cast("int")
+            short = edits + 1 - F.pmod(length, F.lit(edits + 1))  # so many segments are one shorter
+            for i in range(1, edits + 2):
+                start = (base * (i - 1) + F.greatest(F.lit(0), F.lit(i - 1) - short) + 1).cast("int")
+                size = (base + F.when(short < i, 1).otherwise(0)).cast("int")
+                # edits before a segment and after it both bound how far it can have moved
+                low, high = max(1 - i, gap - (edits + 1 - i)), min(i - 1, gap + (edits + 1 - i))
+                for shift in range(low, high + 1) if shifts else (0,):
+                    keys.append(F.when(allowed == edits, F.xxhash64(length, F.lit(i), F.substring(line, start + shift, size))))
+    return F.array(*keys)
 
 
 def index_keys(line: Column, max_edits: int, min_segment: int) -> Column:
-    length = F.length(line)
-    edits = threshold(length, max_edits, min_segment)
-
-    def one(i: Column) -> Column:
-        start, size = _segment(length, edits, i)
-        return _key(length, i, F.substring(line, start, size))
-
-    return F.when(edits > 0, F.transform(F.sequence(F.lit(1), edits + 1), one)).otherwise(F.array().cast("array<bigint>"))
+    """Keys of a line's own segments."""
+    return _keys(line, max_edits, min_segment, range(1), False)
 
 
 def probe_keys(line: Column, max_edits: int, min_segment: int) -> Column:
     """Keys of the substrings that a line at most as long may have as a segment."""
-    length = F.length(line)
-
-    def of_gap(gap: Column) -> Column:
-        other = length - gap
-        edits = threshold(other, max_edits, min_segment)
-
-        def of_segment(i: Column) -> Column:
-            start, size = _segment(other, edits, i)
-            low = F.greatest(F.lit(1), start - (i - 1), start + gap - (edits + 1 - i))
-            high = F.least(length - size + 1, start + (i - 1), start + gap + (edits + 1 - i))
-            keys = F.transform(F.sequence(low, high), lambda p: _key(other, i, F.substring(line, p, size)))
-            return F.when(low <= high, keys).otherwise(F.array().cast("array<bigint>"))
-
-        found = F.flatten(F.transform(F.sequence(F.lit(1), edits + 1), of_segment))
-        return F.when((edits > 0) & (gap <= edits), found).otherwise(F.array().cast("array<bigint>"))
-
-    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(max_edits)), of_gap)))
+    return _keys(line, max_edits, min_segment, range(max_edits + 1), True)
 
 
 def _spanning_links(members: Column, max_edits: int, min_segment: int) -> Column:
@@ -122,8 +111,8 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_segment: int = 12, blo
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "line_no")
     distinct = _write(_lines(docs).groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n_copies"), F.first("line").alias("line")), "lines")
     long = distinct.where(F.length("line") >= 2 * min_segment).select("line", F.xxhash64("line").alias("line_key"))
-    index = long.select("line_key", F.explode(index_keys(F.col("line"), max_edits, min_segment)).alias("key"))
-    probes = long.select("line_key", F.explode(probe_keys(F.col("line"), max_edits, min_segment)).alias("key"))
+    index = long.select("line_key", F.explode(index_keys(F.col("line"), max_edits, min_segment)).alias("key")).where("key is not null")
+    probes = long.select("line_key", F.explode(probe_keys(F.col("line"), max_edits, min_segment)).alias("key")).where("key is not null")
     known = index.groupBy("key").agg(F.count("*").alias("n"), F.min("line_key").alias("only"))
     probing = _write(probes.join(known, "key").where("n > 1 or only <> line_key").select("key", "line_key"), "line-probes")
     indexed = index.join(probing.select("key").distinct(), "key", "left_semi")
