@@ -48,9 +48,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def semi_join(rows: DataFrame, keys: DataFrame, on: str, limit: int = 1_000_000) -> DataFrame:
-    """Rows whose key is in the distinct column ``keys``: broadcast up to ``limit`` keys, else shuffled."""
-    return rows.join(F.broadcast(keys) if keys.count() <= limit else keys, on, "left_semi")
+def sized(keys: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """``keys``, narrow and cheap to count, with a broadcast hint up to ``limit`` rows; more are shuffled."""
+    return F.broadcast(keys) if keys.count() <= limit else keys
 
 
 def let(value: Column, body) -> Column:

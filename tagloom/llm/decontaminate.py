@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import hash_spans, text_slices
+from tagloom.llm.common import hash_spans, materialise, sized, text_slices
 
 #: Consecutive words of which one at least begins a window.
 MINIMISER = 6
@@ -263,5 +263,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_similarity: float = 0.
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item, with all their columns."""
-    leaked = find_leaks(docs, benchmark, **options).select(F.col("text_key").alias("leaked_key")).distinct()
-    return docs.join(leaked, F.xxhash64(docs["text"]) == F.col("leaked_key"), "left_anti")
+    leaked = materialise(find_leaks(docs, benchmark, **options).select(F.col("text_key").alias("leaked_key")).distinct(), "leaks")
+    return docs.join(sized(leaked), F.xxhash64(docs["text"]) == F.col("leaked_key"), "left_anti")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import connected_components, gram_hashes, hash_spans, materialise, mix, semi_join, split_words, text_slices
+from tagloom.llm.common import connected_components, gram_hashes, hash_spans, materialise, mix, sized, split_words, text_slices
 
 SIGNATURE = "doc_id long, text_key long, digest binary, n_grams int, bands array<long>"
 
@@ -191,6 +191,12 @@ def ngram_jaccard_join(
     the banding proposes; of pairs above, more. Every proposed pair is decided
     on the full sets. ``block`` bounds the texts one task compares at once.
     """
+    found = _classes(docs, gram, threshold, target_recall, block, seed)
+    return found.select("doc_id", "class_id", "n_links", "n_text_links", "n_grams")
+
+
+def _classes(docs: DataFrame, gram: int, threshold: float, target_recall: float, block: int, seed: int) -> DataFrame:
+    """The join's rows with ``text_key`` and ``class``, a key of the class (null without n-grams)."""
     bands, rows = choose_bands(threshold, target_recall)
     signed = materialise(signatures(docs, gram, bands, rows, seed), "join-signatures")
     nodes = (
@@ -206,14 +212,15 @@ def ngram_jaccard_join(
     components = connected_components(stars, "join-candidates")
 
     # blocks of a candidate component, and the pairs of blocks each text takes part in
-    sized = components.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    counted = components.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     placed = (
-        components.join(sized, "component")
+        components.join(counted, "component")
         .join(nodes, F.col("node") == F.xxhash64("digest"))
         .select("component", "digest", "copies", "text_key", "bands", "parts", F.pmod(F.xxhash64("digest"), F.col("parts").cast("long")).cast("int").alias("part"))
     )
     placed = materialise(placed, "join-placed")
-    wanted = semi_join(docs.select("text", F.xxhash64("text").alias("text_key")), placed.select("text_key").distinct(), "text_key")
+    keys = sized(placed.select("text_key").distinct())
+    wanted = docs.select("text", F.xxhash64("text").alias("text_key")).join(keys, "text_key", "left_semi")
     sets = _gram_sets(wanted.dropDuplicates(["text_key", "text"]), gram).dropDuplicates(["digest"])
     dealt = (
         placed.join(sets, "digest")
@@ -235,12 +242,15 @@ def ngram_jaccard_join(
     named = classes.groupBy("class").agg(F.min("first_id").alias("class_id"))
     per_set = classes.join(named, "class").select(
         "digest",
+        "class",
         "class_id",
         (F.coalesce("linked_copies", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_text_links"),
     )
     return signed.join(per_set, "digest", "left").select(
         "doc_id",
+        "text_key",
+        "class",
         F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("n_text_links", F.lit(0)).cast("long").alias("n_text_links"),
@@ -248,14 +258,22 @@ def ngram_jaccard_join(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """Of each class of near duplicates the row of least doc_id stays.
+def drop_near_duplicates(docs: DataFrame, gram: int = 5, threshold: float = 0.8, target_recall: float = 0.999, block: int = 256, seed: int = 7) -> DataFrame:
+    """Of each class of near duplicates one row stays: that of least doc_id, null last.
 
-    Of rows that repeat that doc_id one stays; rows without a doc_id stay, as do
-    texts without words. All columns of ``docs`` are returned.
+    Of several texts of that id, one by a hash of the text; of rows that repeat it
+    exactly, one. Texts without words stay. All columns of ``docs`` are returned.
     """
-    classes = ngram_jaccard_join(docs, **options)
-    gone = classes.where("class_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    single = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return single.unionByName(kept.where("doc_id is null"))
+    rows = materialise(_classes(docs, gram, threshold, target_recall, block, seed).select("doc_id", "text_key", "class"), "join-decided")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    first = rows.where("class is not null").groupBy("class").agg(F.min(place).alias("first"))
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    decided = rows.join(first, "class").groupBy("doc_id", "text_key").agg(F.max(stays).alias("stays"), F.count("*").alias("n"))
+    decided = materialise(decided.where("not stays or n > 1"), "join-dropped").select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"), "stays")
+    same = docs["doc_id"].eqNullSafe(F.col("of_id")) & (F.xxhash64(docs["text"]) == F.col("of_text"))
+    kept = docs.join(sized(decided), same, "left_anti")
+    repeated = decided.where("stays")
+    if repeated.isEmpty():
+        return kept
+    once = docs.join(sized(repeated), same).dropDuplicates(["of_id", "of_text"])
+    return kept.unionByName(once.select(*docs.columns))

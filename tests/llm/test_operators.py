@@ -195,8 +195,11 @@ def test_ngram_join_cases(docs, none):
     assert by[6] == by[7] == [(6, 1, 0)]
     assert ngram_join.ngram_jaccard_join(none).count() == 0
     kept = ngram_join.drop_near_duplicates(docs)
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, i) for i in (1, 4, 5, 6, 8, 9)] + [(True, 0)]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 5, 6, 8, 9]
     assert kept.columns == docs.columns
+    alone = ngram_join.drop_near_duplicates(docs.where("doc_id is null or doc_id = 4"))
+    assert {r["doc_id"] for r in alone.collect()} == {None, 4}
+    assert ngram_join.drop_near_duplicates(docs.where("doc_id = 2")).count() == 1
 
 
 def test_ngram_join_of_a_large_family_in_blocks(spark):
