@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import WORD_PATTERN, let, materialise
 
 #: Rows of a source that one window partition numbers.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 10_000
 #: Rounds of the index permutation.
 ROUNDS = 12
+#: Slots that one task fills.
+TASK_SLOTS = 200_000
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -90,17 +92,23 @@ def slot_plan(targets: DataFrame, block: int, cap: float, shard_blocks: int, see
     offset = F.pmod(F.xxhash64(F.lit(seed), "out_shard"), F.lit(1 << 40)) / F.lit(float(1 << 40))
     counted = per_shard.withColumn("first", F.ceil(slots * F.col("from") - offset)).withColumn("count", F.ceil(slots * F.col("upto") - offset) - F.col("first"))
     so_far = Window.partitionBy("source_no").orderBy("out_shard").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counted.withColumn("base", F.coalesce(F.sum("count").over(so_far), F.lit(0))).where("count > 0")
-    filled = placed.select("out_shard", "source_no", "n_blocks", "base", "first", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("t"))
+    placed = materialise(counted.withColumn("base", F.coalesce(F.sum("count").over(so_far), F.lit(0))).where("count > 0"), "mix-counts")
+    # the counts are few and small, so Spark would fill all slots in one task
+    slots_in_all = placed.agg(F.sum("count")).first()[0] or 0
+    tasks = max(targets.sparkSession.sparkContext.defaultParallelism, -(-int(slots_in_all) // TASK_SLOTS))
+    filled = placed.repartition(tasks, "out_shard", "source_no")
+    filled = filled.select("out_shard", "source_no", "n_blocks", "base", "first", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("t"))
     nth = F.col("base") + F.col("t")
     # a block is taken at most ``cap`` times; a slot beyond stays empty
     filled = filled.withColumn("turn", F.floor(nth / F.col("n_blocks"))).where(F.col("turn") < int(cap))
-    return filled.select(
+    filled = filled.select(
         "out_shard",
         (F.col("first") + F.col("t")).alias("slot"),
         "source_no",
         _permuted(nth % F.col("n_blocks"), F.col("n_blocks"), F.lit(seed), F.col("source_no"), F.col("turn")).alias("block"),
     )
+    # written, so that joins know its size
+    return materialise(filled, "mix-slots")
 
 
 def _placed(sized: DataFrame, targets: DataFrame) -> DataFrame:
@@ -179,7 +187,9 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     single = docs.withColumn("__key", F.xxhash64("text"))
     found = single.join(
         spans, (F.col("__key") == F.col("of_text")) & F.col("doc_id").eqNullSafe(F.col("of_id")) & F.col("source").eqNullSafe(F.col("of_source"))
-    ).dropDuplicates(["of_id", "of_source", "of_text"])
+    )
+    if not docs.groupBy("doc_id", "source", F.xxhash64("text")).count().where("count > 1").isEmpty():
+        found = found.dropDuplicates(["of_id", "of_source", "of_text"])  # rows that repeat share their spans
     tokens = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     cut = let(tokens, lambda t: F.transform("spans", lambda s: F.array_join(F.slice(t, s["start_word"].cast("int") + 1, s["n_words"].cast("int")), "")))
     texts = found.withColumn("__span", F.explode(cut)).withColumn("__span", F.rtrim("__span", F.lit(" \t\n\x0b\x0c\r")))
