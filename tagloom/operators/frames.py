@@ -79,8 +79,17 @@ def top_k(rows: DataFrame, group: Sequence[str], count: int, value: str = "weigh
     return rows.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= count).drop("__rank")
 
 
-def max_norm(rows: DataFrame, group: Sequence[str], value: str = "weight", times: float = 1.0) -> DataFrame:
-    """Values over the group's largest; 0 where that is 0."""
+def max_norm(rows: DataFrame, group: Sequence[str], value: str = "weight", times: float = 1.0, hot: bool = False) -> DataFrame:
+    """Values over the group's largest; 0 where that is 0.
+
+    ``hot`` is for keys of which one may hold a large part of the rows: the largest
+    values are aggregated first and joined, and AQE splits a skewed join, which it
+    cannot do with a window. Rows without a key have no group then.
+    """
+    if hot:
+        top = rows.groupBy(*group).agg(F.max(value).alias("__top"))
+        share = F.try_divide(F.col(value), F.col("__top"))
+        return rows.join(top, list(group)).withColumn(value, F.round(F.coalesce(share, F.lit(0.0)) * times, 9)).drop("__top")
     share = F.try_divide(F.col(value), F.max(value).over(Window.partitionBy(*group)))
     return rows.withColumn(value, F.round(F.coalesce(share, F.lit(0.0)) * times, 9))
 
@@ -92,7 +101,10 @@ def l2_norm(rows: DataFrame, group: Sequence[str], value: str = "weight") -> Dat
 
 
 def postings(rows: DataFrame, key: str, item: str, count: int | None = None, value: str = "weight") -> DataFrame:
-    """Ranked list of (id, weight) per key, cut to ``count`` before it is collected."""
+    """Ranked list of (id, weight) per key, cut to ``count`` before it is collected.
+
+    Without a ``count`` the keys must be known to have short lists, as items have tags.
+    """
     ranked = rows if count is None else top_k(rows, [key], count, value, (item,))
     entry = F.struct((-F.col(value)).alias("o"), F.col(item).alias("id"), F.col(value).alias("weight"))
     lists = ranked.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("values"))

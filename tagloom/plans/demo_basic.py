@@ -517,7 +517,7 @@ def a_ratio(spark, d):
 
 @query("SELECT tag, item, round(weight / max(weight) OVER (PARTITION BY tag), 9) AS weight FROM posted WHERE weight > 0")
 def a_maxnorm(spark, d):
-    return _rounded(O.max_norm(V.posted(spark, d).where("weight > 0"), ["tag"]))
+    return _rounded(O.max_norm(V.posted(spark, d).where("weight > 0"), ["tag"], hot=True))
 
 
 @query("SELECT item, tag, round(weight / sqrt(sum(weight * weight) OVER (PARTITION BY item)), 9) AS weight FROM summed WHERE weight <> 0")

@@ -445,12 +445,12 @@ def m_reporttag(spark, d):
 
 @query("SELECT 'b_t_' || tag AS key, (row_number() OVER (PARTITION BY tag ORDER BY weight DESC, item) - 1)::INTEGER AS pos, item || ':' || printf('%.4f', weight) AS value FROM posted QUALIFY row_number() OVER (PARTITION BY tag ORDER BY weight DESC, item) <= 40")
 def m_serve(spark, d):
-    return _exploded(K.payload(O.postings(V.posted(spark, d), "tag", "item"), "tag", "b", "t", -1, "replace", take=40))
+    return _exploded(K.payload(O.postings(V.posted(spark, d), "tag", "item", 40), "tag", "b", "t", -1, "replace"))
 
 
-@query("SELECT 'b_l_' || tag AS key, (row_number() OVER (PARTITION BY tag ORDER BY w DESC, item::VARCHAR) - 1)::INTEGER AS pos, item || ':2502:' || printf('%.4f', w) AS value FROM (SELECT tag, item, cast(printf('%.4f', weight) AS DOUBLE) AS w FROM posted)")
+@query("SELECT 'b_l_' || tag AS key, (row_number() OVER (PARTITION BY tag ORDER BY w DESC, item::VARCHAR) - 1)::INTEGER AS pos, item || ':2502:' || printf('%.4f', w) AS value FROM (SELECT tag, item, cast(printf('%.4f', weight) AS DOUBLE) AS w FROM posted QUALIFY row_number() OVER (PARTITION BY tag ORDER BY weight DESC, item) <= 100)")
 def m_loadlists(spark, d):
-    lists = O.postings(V.posted(spark, d), "tag", "item").select("tag", X.format_list(F.col("values"), ";", ",").alias("l"))
+    lists = O.postings(V.posted(spark, d), "tag", "item", 100).select("tag", X.format_list(F.col("values"), ";", ",").alias("l"))
     path = scratch_path(spark, "lists")
     lists.select(F.concat_ws("\t", "tag", "l").alias("value")).write.text(path)
     loaded = S.read_ranked_lists(spark, path)

@@ -116,7 +116,7 @@ def query_tags(counts: DataFrame, count: int = 30, min_weight: float = 0.01) ->
 
 def query_postings(counts: DataFrame, pool: DataFrame, min_weight: float = 0.01) -> DataFrame:
     """(tag, item, weight): counts of pool items over the tag's largest."""
-    rows = O.max_norm(O.restrict(counts, pool, "item").withColumn("weight", F.col("n").cast("double")).drop("n"), ["tag"])
+    rows = O.max_norm(O.restrict(counts, pool, "item").withColumn("weight", F.col("n").cast("double")).drop("n"), ["tag"], hot=True)
     return rows.where(F.col("weight") > min_weight)
 
 
