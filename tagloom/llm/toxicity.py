@@ -86,7 +86,14 @@ class Model(NamedTuple):
 
 
 def _slots(words: np.ndarray, prefixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (words % np.uint64(BUCKETS)).astype(np.int32), (prefixes % np.uint64(BUCKETS)).astype(np.int32)
+    return (words % np.uint64(BUCKETS)).astype(np.uint16), (prefixes % np.uint64(BUCKETS)).astype(np.uint16)
+
+
+def _texts_per_slot(slots: np.ndarray, first: np.ndarray) -> np.ndarray:
+    counts = np.zeros(BUCKETS, np.int32)
+    for a, b in zip(first[:-1], first[1:], strict=True):
+        counts[np.unique(slots[a:b])] += 1
+    return counts
 
 
 def _responses(model: Model, word: np.ndarray, prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -121,7 +128,7 @@ def _logit(model: Model, pooled: np.ndarray) -> np.ndarray:
     return np.clip(pooled @ model.output + model.offset, -30, 30)
 
 
-def train(words: np.ndarray, prefixes: np.ndarray, first: np.ndarray, labels: np.ndarray, languages: np.ndarray, visits: int = 120_000, rate: float = 0.05, min_texts: int = 3, seed: int = 9) -> Model:
+def train(word: np.ndarray, prefix: np.ndarray, first: np.ndarray, labels: np.ndarray, languages: np.ndarray, visits: int = 120_000, rate: float = 0.05, min_texts: int = 3, seed: int = 9) -> Model:
     """Adagrad on the positions that the pooling chose; then thresholds by language.
 
     Documents are visited about ``visits`` times in all, each 10 to 60 times.
@@ -133,12 +140,7 @@ def train(words: np.ndarray, prefixes: np.ndarray, first: np.ndarray, labels: np
     model = Model(np.zeros((BUCKETS, DIMENSION), np.float32), np.zeros((BUCKETS, DIMENSION), np.float32), filters, np.zeros(POOLED, np.float32), np.zeros(POOLED, np.float32), 0.0, np.full(len(_LANGUAGES), DECISION))
     if len(labels) == 0 or labels.min() == labels.max():
         return model
-    word, prefix = _slots(words, prefixes)
-    text = np.repeat(np.arange(len(labels)), np.diff(first))
-    common = []
-    for slots in (word, prefix):
-        pairs = np.unique(text * np.int64(BUCKETS) + slots)
-        common.append((np.bincount((pairs % BUCKETS).astype(np.int64), minlength=BUCKETS) >= min_texts).astype(np.float32)[:, None])
+    common = [(_texts_per_slot(slots, first) >= min_texts).astype(np.float32)[:, None] for slots in (word, prefix)]
     output = rng.normal(0, 0.5, POOLED).astype(np.float32)
     biases, offset = np.full(POOLED, 0.01, np.float32), 0.0
     tables = [model.words, model.prefixes]
@@ -202,8 +204,11 @@ def train(words: np.ndarray, prefixes: np.ndarray, first: np.ndarray, labels: np
             past["offset"] += step_offset**2
             offset -= rate * step_offset / np.sqrt(past["offset"])
     model = model._replace(biases=biases, output=output, offset=offset)
-    scores = 1 / (1 + np.exp(-_logit(model, _pooled(model, word, prefix, first))))
-    return model._replace(thresholds=_calibrate(scores[check], labels[check], languages[check]))
+    scores = np.zeros(len(check))
+    for k, text in enumerate(check):  # one by one: responses of all at once would fill the driver
+        own = slice(first[text], first[text + 1])
+        scores[k] = 1 / (1 + np.exp(-_logit(model, _pooled(model, word[own], prefix[own], np.array([0, counts[text]])))[0]))
+    return model._replace(thresholds=_calibrate(scores, labels[check], languages[check]))
 
 
 def _best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
@@ -255,10 +260,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
 
     sample = training_sample(docs, labels, label, max_docs).select(F.col("doc_id").cast("long"), "label", "text")
     rows = sample.mapInArrow(run, "doc_id long, label int, language int, slots binary").toArrow().sort_by([("doc_id", "ascending"), ("slots", "ascending")])
-    texts = [np.frombuffer(v, np.int32).reshape(-1, 2) for v in rows.column("slots").to_pylist()]
-    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    slots = np.concatenate(texts) if texts else np.zeros((0, 2), np.int32)
-    return train(slots[:, 0].astype(np.uint64), slots[:, 1].astype(np.uint64), first, rows.column("label").to_numpy().astype(np.float64), rows.column("language").to_numpy())
+    first = np.concatenate([[0], np.cumsum([len(v.as_py()) // 4 for v in rows.column("slots")])]).astype(np.int64)
+    slots = np.frombuffer(b"".join(v.as_py() for v in rows.column("slots")), np.uint16).reshape(-1, 2)
+    return train(slots[:, 0].copy(), slots[:, 1].copy(), first, rows.column("label").to_numpy().astype(np.float64), rows.column("language").to_numpy())
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
