@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import connected_components, let, scratch_path
+from tagloom.llm.common import connected_components, let, scratch_path, sized
 
 
 def threshold(length: Column, max_edits: int, min_segment: int) -> Column:
@@ -20,7 +20,7 @@ def threshold(length: Column, max_edits: int, min_segment: int) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(max_edits), F.floor(length / min_segment).cast("int") - 1))
 
 
-def _keys(line: Column, max_edits: int, min_segment: int, gaps: range, shifts: bool) -> Column:
+def _keys(line: Column, chars: Column, max_edits: int, min_segment: int, gaps: range, shifts: bool) -> Column:
     """Keys (length, number, segment) of the segments that lines ``gap`` shorter may have.
 
     Thresholds are few, so every case is its own expression, null where it does
@@ -28,7 +28,7 @@ def _keys(line: Column, max_edits: int, min_segment: int, gaps: range, shifts: b
     """
     keys = []
     for gap in gaps:
-        length = F.length(line) - gap
+        length = chars - gap
         allowed = threshold(length, max_edits, min_segment)
         for edits in range(max(1, gap), max_edits + 1):
             base = F.floor(length / (edits + 1)).cast("int")
@@ -43,14 +43,14 @@ def _keys(line: Column, max_edits: int, min_segment: int, gaps: range, shifts: b
     return F.array(*keys)
 
 
-def index_keys(line: Column, max_edits: int, min_segment: int) -> Column:
-    """Keys of a line's own segments."""
-    return _keys(line, max_edits, min_segment, range(1), False)
+def index_keys(line: Column, chars: Column, max_edits: int, min_segment: int) -> Column:
+    """Keys of a line's own segments; ``chars`` is its length."""
+    return _keys(line, chars, max_edits, min_segment, range(1), False)
 
 
-def probe_keys(line: Column, max_edits: int, min_segment: int) -> Column:
+def probe_keys(line: Column, chars: Column, max_edits: int, min_segment: int) -> Column:
     """Keys of the substrings that a line at most as long may have as a segment."""
-    return _keys(line, max_edits, min_segment, range(max_edits + 1), True)
+    return _keys(line, chars, max_edits, min_segment, range(max_edits + 1), True)
 
 
 def _spanning_links(members: Column, max_edits: int, min_segment: int) -> Column:
@@ -109,17 +109,17 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_segment: int = 12, blo
     lines of one key are compared in one row of a plan.
     """
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "line_no")
-    distinct = _write(_lines(docs).groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n_copies"), F.first("line").alias("line")), "lines")
-    long = distinct.where(F.length("line") >= 2 * min_segment).select("line", F.xxhash64("line").alias("line_key"))
-    index = long.select("line_key", F.explode(index_keys(F.col("line"), max_edits, min_segment)).alias("key")).where("key is not null")
-    probes = long.select("line_key", F.explode(probe_keys(F.col("line"), max_edits, min_segment)).alias("key")).where("key is not null")
+    distinct = _write(_lines(docs).groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n_copies"), F.first("line").alias("line")).withColumn("length", F.length("line")), "lines")
+    long = distinct.where(F.col("length") >= 2 * min_segment).select("line", "length", F.xxhash64("line").alias("line_key"))
+    index = long.select("line_key", F.explode(index_keys(F.col("line"), F.col("length"), max_edits, min_segment)).alias("key")).where("key is not null")
+    probes = long.select("line_key", F.explode(probe_keys(F.col("line"), F.col("length"), max_edits, min_segment)).alias("key")).where("key is not null")
     known = index.groupBy("key").agg(F.count("*").alias("n"), F.min("line_key").alias("only"))
     probing = _write(probes.join(known, "key").where("n > 1 or only <> line_key").select("key", "line_key"), "line-probes")
     indexed = index.join(probing.select("key").distinct(), "key", "left_semi")
     members = probing.withColumns({"indexed": F.lit(False), "probing": F.lit(True)}).unionByName(indexed.withColumns({"indexed": F.lit(True), "probing": F.lit(False)}))
     members = _write(members.groupBy("key", "line_key").agg(F.max("indexed").alias("indexed"), F.max("probing").alias("probing")), "line-members")
     parts = members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    texts = distinct.select(F.xxhash64("line").alias("line_key"), "digest", "line").join(members.select("line_key").distinct(), "line_key", "left_semi")
+    texts = distinct.select(F.xxhash64("line").alias("line_key"), "digest", "line", "length").join(sized(members.select("line_key").distinct()), "line_key", "left_semi")
     dealt = (
         members.join(parts, "key")
         .withColumn("part", F.pmod(F.xxhash64("line_key", F.lit(1)), F.col("parts").cast("long")).cast("int"))
@@ -127,7 +127,7 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_segment: int = 12, blo
         .withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
         .join(texts, "line_key")
     )
-    member = F.struct("digest", "line", F.length("line").alias("length"), "indexed", "probing", "part", "low", "high")
+    member = F.struct("digest", "line", "length", "indexed", "probing", "part", "low", "high")
     blocks = dealt.groupBy("key", "low", "high").agg(F.collect_list(member).alias("members")).where(F.size("members") > 1)
     links = blocks.select(F.explode(_spanning_links(F.col("members"), max_edits, min_segment)).alias("link")).select("link.*").distinct()
     near = connected_components(links, "line-classes").withColumnRenamed("node", "digest")
