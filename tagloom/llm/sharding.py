@@ -1,6 +1,7 @@
 """Size-tiered compaction of immutable Parquet shards under a versioned manifest.
 
-A store is a folder. Arrivals are appended as small shards; compaction merges
+A shard's tier is the number of times that its size has to grow ``fanout``-fold to
+reach the target. A store is a folder. Arrivals are appended as small shards; compaction merges
 runs of similarly sized shards into files of a target size. Neither changes a
 file: each writes new ones and commits a new manifest version, a table that
 names the live shards. A commit is one rename that fails if the version exists.
@@ -78,11 +79,11 @@ class ShardStore:
             if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 raise
             return self.spark.createDataFrame([], MANIFEST)
-        tier = F.greatest(F.lit(0), F.floor(F.log(F.col("bytes") * self.fanout**8 / self.target_bytes) / math.log(self.fanout)) + 1)
+        tier = F.greatest(F.lit(0), F.ceil(F.log(F.lit(float(self.target_bytes)) / F.col("bytes")) / math.log(self.fanout)))
         return (
             written.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
             .agg(F.count("*").alias("rows"), F.min("doc_id").cast("long").alias("first_id"), F.max("doc_id").cast("long").alias("last_id"))
-            .select("path", F.when(F.col("bytes") >= self.target_bytes, 9).otherwise(F.least(tier, F.lit(8))).cast("int").alias("tier"), "rows", "bytes", "first_id", "last_id", F.lit(version).cast("long").alias("added"))
+            .select("path", tier.cast("int").alias("tier"), "rows", "bytes", "first_id", "last_id", F.lit(version).cast("long").alias("added"))
         )
 
     # -------------------------------------------------------------- writing
@@ -95,16 +96,23 @@ class ShardStore:
         return self._commit(self.manifest().unionByName(self._shards_in(folder, version)), version)
 
     def _plan(self, manifest: DataFrame) -> DataFrame:
-        """(path, run) of the shards to merge: neighbours in size within a tier."""
-        small = manifest.where(F.col("bytes") < self.target_bytes)
-        slots = max(1, -(-small.count() // WAVE_SHARDS))
-        small = small.withColumn("lane", F.pmod(F.xxhash64("path"), F.lit(slots)))
-        order = Window.partitionBy("tier", "lane").orderBy("bytes", "first_id", "path")
-        cut = F.floor((F.sum("bytes").over(order) - F.col("bytes")) / self.target_bytes)
-        runs = small.withColumn("cut", cut).withColumn("members", F.count("*").over(Window.partitionBy("tier", "lane", "cut")))
-        total = F.sum("bytes").over(Window.partitionBy("tier", "lane", "cut"))
-        runs = runs.withColumn("total", total).where((F.col("members") >= self.fanout) | ((F.col("members") > 1) & (F.col("total") >= self.target_bytes)))
-        return runs.withColumn("run", F.dense_rank().over(Window.partitionBy("lane").orderBy("tier", "cut")) - 1)
+        """(lane, run, path) of the shards to merge: neighbours in size, up to the target.
+
+        A shard of half the target is done. A run is due with ``fanout`` shards or
+        half the target, if it is at least twice its largest shard: so a merge
+        doubles every shard in it, and no row is written more often than the
+        target can be halved.
+        """
+        small = manifest.where(F.col("bytes") * 2 < self.target_bytes)
+        lanes = max(1, -(-small.count() // WAVE_SHARDS))
+        small = small.withColumn("lane", F.pmod(F.xxhash64("path"), F.lit(lanes)))
+        order = Window.partitionBy("lane").orderBy("bytes", "first_id", "path")
+        cut = small.withColumn("cut", F.floor((F.sum("bytes").over(order) - F.col("bytes")) / self.target_bytes))
+        run = Window.partitionBy("lane", "cut")
+        sums = cut.withColumns({"members": F.count("*").over(run), "total": F.sum("bytes").over(run), "largest": F.max("bytes").over(run)})
+        due = (F.col("members") >= self.fanout) | ((F.col("members") > 1) & (F.col("total") * 2 >= self.target_bytes))
+        runs = sums.where(due & (F.col("total") >= F.col("largest") * 2))
+        return runs.select("lane", (F.dense_rank().over(Window.partitionBy("lane").orderBy("cut")) - 1).alias("run"), "path")
 
     def compact(self) -> int | None:
         """One round of merges; returns the new version, or None if none was due."""
@@ -112,7 +120,7 @@ class ShardStore:
         if not current:
             return None
         live = self.manifest(current[-1])
-        plan = self._plan(live).select("lane", "run", "path", "total")
+        plan = self._plan(live)
         due = [r["lane"] for r in plan.select("lane").distinct().toLocalIterator()]
         if not due:
             return None
@@ -127,7 +135,7 @@ class ShardStore:
                 F.broadcast(wave.select(F.col("path").alias("__path"), F.col("run").alias("__run"))), "__path"
             )
             folder = f"{self.root}/data/{uuid.uuid4().hex}"
-            keyed.select(*columns, "__run").repartition(runs, "__run").write.partitionBy("__run").option("compression", "zstd").parquet(folder)
+            keyed.select(*columns, "__run").repartition(4 * runs, "__run").write.partitionBy("__run").option("compression", "zstd").parquet(folder)
             added.append(self._shards_in(folder, version))
         merged = live.join(plan.select("path"), "path", "left_anti").select(*live.columns)
         for shards in added:
