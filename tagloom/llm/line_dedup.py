@@ -131,9 +131,10 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_segment: int = 12, blo
     blocks = dealt.groupBy("key", "low", "high").agg(F.collect_list(member).alias("members")).where(F.size("members") > 1)
     links = blocks.select(F.explode(_spanning_links(F.col("members"), max_edits, min_segment)).alias("link")).select("link.*").distinct()
     near = connected_components(links, "line-classes").withColumnRenamed("node", "digest")
-    joined = distinct.select("digest", "first", "n_copies").join(near, "digest", "left")
-    merged = joined.where("component is not null").groupBy("component").agg(F.min("first").alias("class_first"))
-    named = joined.join(merged, "component", "left").select("digest", "n_copies", F.coalesce("class_first", "first").alias("of"))
+    # lines without a near one have no component: they stay out of joins by it, where they would meet in one task
+    firsts = near.join(distinct.select("digest", "first"), "digest")
+    merged = near.join(firsts.groupBy("component").agg(F.min("first").alias("class_first")), "component").select("digest", "class_first")
+    named = distinct.select("digest", "first", "n_copies").join(merged, "digest", "left").select("digest", "n_copies", F.coalesce("class_first", "first").alias("of"))
     whole = _lines(docs).select("doc_id", "text_key", "line_no", "digest").join(named, "digest")
     kept = F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & F.col("text_key").eqNullSafe(F.col("of.text_key")) & (F.col("line_no") == F.col("of.line_no"))
     return whole.select("doc_id", "text_key", "line_no", "n_copies", F.col("of.doc_id").alias("class_doc"), F.col("of.line_no").alias("class_line"), kept.alias("kept"))
