@@ -20,37 +20,44 @@ def threshold(length: Column, max_edits: int, min_segment: int) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(max_edits), F.floor(length / min_segment).cast("int") - 1))
 
 
-def _keys(line: Column, chars: Column, max_edits: int, min_segment: int, gaps: range, shifts: bool) -> Column:
-    """Keys (length, number, segment) of the segments that lines ``gap`` shorter may have.
+def _cases(max_edits: int, gaps: range, shifts: bool) -> Column:
+    """(gap, edits, number, shift): which segment of a line ``gap`` shorter may stand where.
 
-    Thresholds are few, so every case is its own expression, null where it does
-    not apply; plain expressions compile, nested lambdas would not.
+    Edits before a segment and after it both bound how far it can have moved.
     """
-    keys = []
+    cases = []
     for gap in gaps:
-        length = chars - gap
-        allowed = threshold(length, max_edits, min_segment)
         for edits in range(max(1, gap), max_edits + 1):
-            base = F.floor(length / (edits + 1)).cast("int")
-            short = edits + 1 - F.pmod(length, F.lit(edits + 1))  # so many segments are one shorter
             for i in range(1, edits + 2):
-                start = (base * (i - 1) + F.greatest(F.lit(0), F.lit(i - 1) - short) + 1).cast("int")
-                size = (base + F.when(short < i, 1).otherwise(0)).cast("int")
-                # edits before a segment and after it both bound how far it can have moved
                 low, high = max(1 - i, gap - (edits + 1 - i)), min(i - 1, gap + (edits + 1 - i))
-                for shift in range(low, high + 1) if shifts else (0,):
-                    keys.append(F.when(allowed == edits, F.xxhash64(length, F.lit(i), F.substring(line, start + shift, size))))
-    return F.array(*keys)
+                cases += [(gap, edits, i, shift) for shift in (range(low, high + 1) if shifts else (0,))]
+    return F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("gap", "edits", "number", "shift"), c, strict=True)]) for c in cases])
 
 
-def index_keys(line: Column, chars: Column, max_edits: int, min_segment: int) -> Column:
-    """Keys of a line's own segments; ``chars`` is its length."""
-    return _keys(line, chars, max_edits, min_segment, range(1), False)
+def _keys(lines: DataFrame, cases: Column, max_edits: int, min_segment: int) -> DataFrame:
+    """(key, line_key) of the substrings of ``lines`` in the cases that apply.
+
+    One short expression per row compiles well; all cases in one expression make
+    a method too long for the JVM to compile.
+    """
+    rows = lines.select("*", F.explode(cases).alias("c")).select("line", "length", "line_key", "c.*")
+    length, edits, number = F.col("length") - F.col("gap"), F.col("edits"), F.col("number")
+    rows = rows.where(threshold(length, max_edits, min_segment) == edits)
+    base = F.floor(length / (edits + 1)).cast("int")
+    short = edits + 1 - F.pmod(length, edits + 1)  # so many segments are one shorter
+    start = (base * (number - 1) + F.greatest(F.lit(0), number - 1 - short) + 1 + F.col("shift")).cast("int")
+    size = base + F.when(short < number, 1).otherwise(0)
+    return rows.select(F.xxhash64(length, number, F.substring("line", start, size)).alias("key"), "line_key")
+
+
+def index_keys(lines: DataFrame, max_edits: int, min_segment: int) -> DataFrame:
+    """Keys of the lines' own segments."""
+    return _keys(lines, _cases(max_edits, range(1), False), max_edits, min_segment)
 
 
-def probe_keys(line: Column, chars: Column, max_edits: int, min_segment: int) -> Column:
-    """Keys of the substrings that a line at most as long may have as a segment."""
-    return _keys(line, chars, max_edits, min_segment, range(max_edits + 1), True)
+def probe_keys(lines: DataFrame, max_edits: int, min_segment: int) -> DataFrame:
+    """Keys of the substrings that lines at most as long may have as segments."""
+    return _keys(lines, _cases(max_edits, range(max_edits + 1), True), max_edits, min_segment)
 
 
 def _spanning_links(members: Column, max_edits: int, min_segment: int) -> Column:
@@ -111,8 +118,7 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_segment: int = 12, blo
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "line_no")
     distinct = _write(_lines(docs).groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n_copies"), F.first("line").alias("line")).withColumn("length", F.length("line")), "lines")
     long = distinct.where(F.col("length") >= 2 * min_segment).select("line", "length", F.xxhash64("line").alias("line_key"))
-    index = long.select("line_key", F.explode(index_keys(F.col("line"), F.col("length"), max_edits, min_segment)).alias("key")).where("key is not null")
-    probes = long.select("line_key", F.explode(probe_keys(F.col("line"), F.col("length"), max_edits, min_segment)).alias("key")).where("key is not null")
+    index, probes = index_keys(long, max_edits, min_segment), probe_keys(long, max_edits, min_segment)
     known = index.groupBy("key").agg(F.count("*").alias("n"), F.min("line_key").alias("only"))
     probing = _write(probes.join(known, "key").where("n > 1 or only <> line_key").select("key", "line_key"), "line-probes")
     indexed = index.join(probing.select("key").distinct(), "key", "left_semi")
