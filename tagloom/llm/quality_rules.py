@@ -119,6 +119,10 @@ def with_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: in
 
 
 def keep_quality(docs: DataFrame, **options) -> DataFrame:
-    """The rows whose text passes, with the columns of ``docs`` (null verdicts do not occur)."""
+    """The rows whose text passes, with the columns of ``docs``.
+
+    Rows are unnested from an array that is null where the text fails: a filter
+    would be moved below the counts and evaluate them once per rule.
+    """
     judged = with_quality(docs.withColumn("__row", F.struct(*docs.columns)), **options)
-    return judged.where("quality.kept").select("__row.*")
+    return judged.select(F.inline(F.when(F.col("quality.kept"), F.array("__row"))))
