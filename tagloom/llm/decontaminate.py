@@ -8,6 +8,8 @@ and samples reach the target recall; an exact edit distance decides.
 
 Windows begin at words that have the least hash of some ``MINIMISER`` neighbours,
 in texts and in items alike, so a copied passage has the same windows as the item.
+Items that are too short for such a window are found exactly: with k edits allowed,
+one of k + 1 pieces of the item is in the text unchanged.
 """
 
 from __future__ import annotations
@@ -21,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import hash_spans, materialise, sized, text_slices
+from tagloom.llm.common import hash_spans, materialise, mix, sized, text_slices
 
 #: Consecutive words of which one at least begins a window.
 MINIMISER = 6
 #: Items whose keys one pass over the texts holds.
 BLOCK_ITEMS = 20_000
-#: Items of fewer words occur by chance and are not searched for.
-MIN_WORDS = 8
+#: Items of fewer words are found by their pieces; from here on a window starts early enough to fit.
+MIN_WORDS = 13
 
 LEAKS = "doc_id long, text_key long, item_id long, edit_distance int, item_words int, similarity double, at_word long"
 
@@ -112,10 +114,45 @@ class Walks:
                 yield c, key
 
 
+def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all runs of ``length`` words."""
+    n = max(0, len(words) - length + 1)
+    total = np.full(n, length, np.uint64)
+    for k in range(length):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n]
+    return mix(total)
+
+
+class Pieces(NamedTuple):
+    """Sorted hashes of pieces of one length; item and offset of each."""
+
+    keys: np.ndarray
+    numbers: np.ndarray
+    offsets: np.ndarray
+
+
+def build_pieces(items: list[tuple[int, np.ndarray]], max_share: float) -> dict[int, Pieces]:
+    """{length: pieces} of the items of fewer than MIN_WORDS words."""
+    found: dict[int, list[tuple[np.ndarray, int, int]]] = {}
+    for number, (_, words) in enumerate(items):
+        if len(words) < MIN_WORDS:
+            cuts = min(len(words), int(len(words) * max_share) + 1)
+            edges = [len(words) * k // cuts for k in range(cuts + 1)]
+            for low, high in zip(edges, edges[1:], strict=False):
+                found.setdefault(high - low, []).append((run_hashes(words[low:high], high - low)[0], number, low))
+    pieces = {}
+    for length, rows in found.items():
+        keys, numbers, offsets = (np.array(x, t) for x, t in zip(zip(*rows, strict=True), (np.uint64, np.int64, np.int64), strict=True))
+        order = np.argsort(keys, kind="stable")
+        pieces[length] = Pieces(keys[order], numbers[order], offsets[order])
+    return pieces
+
+
 class Index(NamedTuple):
     """Keys of a block of items; bounded by BLOCK_ITEMS."""
 
-    walks: Walks
+    pieces: dict[int, Pieces]
+    walks: Walks | None
     items: list[tuple[int, np.ndarray]]
     keys: dict[int, np.ndarray]
     entries: dict[int, tuple[np.ndarray, np.ndarray]]
@@ -123,11 +160,16 @@ class Index(NamedTuple):
     shift: dict[int, np.uint64]
 
 
-def build_index(items: list[tuple[int, np.ndarray]], walks: int, keys: int, samples: int, seed: int) -> Index:
-    classes = sorted({window_class(len(words)) for _, words in items})
+def build_index(items: list[tuple[int, np.ndarray]], walks: int, keys: int, samples: int, seed: int, max_share: float = 0.2 + 1e-9) -> Index:
+    pieces = build_pieces(items, max_share)
+    classes = sorted({window_class(len(words)) for _, words in items if len(words) >= MIN_WORDS})
+    if not classes:
+        return Index(pieces, None, items, {}, {}, {}, {})
     walk = Walks(classes, walks, keys, samples, seed)
     found: dict[int, list] = {c: [] for c in classes}
     for number, (_, words) in enumerate(items):
+        if len(words) < MIN_WORDS:
+            continue
         own = window_class(len(words))
         starts = window_starts(words)
         starts = starts[starts <= len(words) - (1 << own)]
@@ -135,7 +177,7 @@ def build_index(items: list[tuple[int, np.ndarray]], walks: int, keys: int, samp
         for c, key in walk.run(padded, starts):
             if c == own:
                 found[c].append((key, np.full(len(starts), number), starts))
-    index = Index(walk, items, {}, {}, {}, {})
+    index = Index(pieces, walk, items, {}, {}, {}, {})
     for c in classes:
         key, number, start = (np.concatenate([x[k] for x in found[c]]) for k in range(3))
         order = np.argsort(key, kind="stable")
@@ -159,39 +201,63 @@ def fitting_distance(item: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray,
     return before.min(axis=1), before.argmin(axis=1)
 
 
+def _matches(keys: np.ndarray, sought: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``sought``, place in the sorted ``keys``) of equal ones."""
+    low = np.searchsorted(keys, sought, side="left")
+    count = np.searchsorted(keys, sought, side="right") - low
+    entry = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+    return np.repeat(np.arange(len(sought)), count), entry
+
+
 def search(index: Index, words: np.ndarray, first: np.ndarray, max_share: float) -> dict[tuple[int, int], tuple[int, int]]:
     """{(text, item): (distance, word of the text)} of the leaks in a slice of texts."""
-    starts = window_starts(words)
-    padded = np.concatenate([words, np.zeros(index.walks.pad, np.uint64)])
-    met: dict[int, list[np.ndarray]] = {}
-    for c, key in index.walks.run(padded, starts):
-        hit = np.flatnonzero(index.marks[c][key >> index.shift[c]])
-        low = np.searchsorted(index.keys[c], key[hit], side="left")
-        count = np.searchsorted(index.keys[c], key[hit], side="right") - low
-        if count.any():
-            entry = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            number, offset = index.entries[c][0][entry], index.entries[c][1][entry]
-            for item in np.unique(number):
-                met.setdefault(int(item), []).append((starts[np.repeat(hit, count)] - offset)[number == item])
+    width = index.walks.pad if index.walks else 1
+    padded = np.concatenate([words, np.zeros(width, np.uint64)])
+    met: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def meet(number: np.ndarray, begin: np.ndarray, inner: np.ndarray) -> None:
+        """Item ``number`` may begin at ``begin``, in the text that holds ``inner``."""
+        order = np.argsort(number, kind="stable")
+        text = np.searchsorted(first, np.clip(inner, 0, max(len(words) - 1, 0)), side="right") - 1
+        items, starts = np.unique(number[order], return_index=True)
+        for item, some in zip(items.tolist(), np.split(order, starts[1:]), strict=True):
+            met.setdefault(item, []).append((begin[some], text[some]))
+
+    if index.walks:
+        starts = window_starts(words)
+        sizes = np.array([len(x) for _, x in index.items])
+        for c, key in index.walks.run(padded, starts):
+            hit = np.flatnonzero(index.marks[c][key >> index.shift[c]])
+            place, entry = _matches(index.keys[c], key[hit])
+            if len(place):
+                number, offset = index.entries[c][0][entry], index.entries[c][1][entry]
+                begin = starts[hit[place]] - offset
+                # a window belongs to the text that holds its middle
+                meet(number, begin, begin + sizes[number] // 2)
+    for length, pieces in index.pieces.items():
+        place, entry = _matches(pieces.keys, run_hashes(words, length))
+        if len(place):
+            meet(pieces.numbers[entry], place - pieces.offsets[entry], place)
     found: dict[tuple[int, int], tuple[int, int]] = {}
     for item, places in met.items():
         symbols = index.items[item][1]
         allowed = int(len(symbols) * max_share)
         slack = allowed + 1
-        begin = np.unique(np.concatenate(places))
-        # a window belongs to the text that holds its middle
-        text = np.searchsorted(first, np.clip(begin + len(symbols) // 2, 0, max(len(words) - 1, 0)), side="right") - 1
-        span = begin[:, None] - slack + np.arange(len(symbols) + 2 * slack)
-        inside = (span >= first[text][:, None]) & (span < first[text + 1][:, None])
-        regions = np.where(inside, padded[np.clip(span, 0, len(words) - 1)], np.uint64(0))
-        near = np.flatnonzero(np.isin(regions, symbols).sum(axis=1) >= len(symbols) - allowed)
-        for cut in range(0, len(near), 512):
-            some = near[cut : cut + 512]
-            distance, end = fitting_distance(symbols, regions[some])
-            for k in np.flatnonzero(distance <= allowed):
-                i = some[k]
-                at = max(0, int(begin[i] - slack + end[k] - len(symbols) - first[text[i]]))
-                found[int(text[i]), item] = min(found.get((int(text[i]), item), (1 << 30, 0)), (int(distance[k]), at))
+        begin, text = (np.concatenate(x) for x in zip(*places, strict=True))
+        once = np.unique(np.stack([text, begin]), axis=1)
+        for cut in range(0, once.shape[1], 1 << 14):
+            text, begin = once[:, cut : cut + (1 << 14)]
+            span = begin[:, None] - slack + np.arange(len(symbols) + 2 * slack)
+            inside = (span >= first[text][:, None]) & (span < first[text + 1][:, None])
+            regions = np.where(inside, padded[np.clip(span, 0, len(words) - 1)], np.uint64(0))
+            near = np.flatnonzero(np.isin(regions, symbols).sum(axis=1) >= len(symbols) - allowed)
+            for part in range(0, len(near), 512):
+                some = near[part : part + 512]
+                distance, end = fitting_distance(symbols, regions[some])
+                for k in np.flatnonzero(distance <= allowed):
+                    i = some[k]
+                    at = max(0, int(begin[i] - slack + end[k] - len(symbols) - first[text[i]]))
+                    found[int(text[i]), item] = min(found.get((int(text[i]), item), (1 << 30, 0)), (int(distance[k]), at))
     return found
 
 
@@ -206,7 +272,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
     rows = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long"), "text").distinct().orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         words = _tokens(row["text"])
-        if len(words) >= MIN_WORDS:
+        if len(words) >= 8:
             block.append((row["item_id"], words))
         if len(block) == BLOCK_ITEMS:
             yield block
@@ -222,10 +288,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_similarity: float = 0.
     it of at most 1 - ``min_similarity`` of its words. Words are runs of letters
     and digits without regard to case. Columns: doc_id, text_key (xxhash64 of the
     text), item_id, edit_distance, item_words, similarity, at_word. ``walks`` x
-    ``keys`` LSH repetitions give the recall that the tests measure.
+    ``keys`` LSH repetitions give the recall that the tests measure; items of
+    fewer than MIN_WORDS words are found without loss.
 
-    Defined cases: null or empty texts and items match nothing, as do items of
-    fewer than MIN_WORDS words; an item_id of several texts matches by any; null
+    Defined cases: null or empty texts and items, and items of fewer than 8 words, match
+    nothing; an item_id of several texts matches by any; null
     doc_ids are kept; repeated rows give repeated results; other columns are
     ignored; empty tables give an empty result.
     """
@@ -234,7 +301,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_similarity: float = 0.
     names = ["doc_id", "text_key", "item_id", "edit_distance", "item_words", "similarity", "at_word"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64()]
     for block in _blocks(benchmark):
-        index = build_index(block, walks, keys, samples, seed)
+        index = build_index(block, walks, keys, samples, seed, 1 - min_similarity + 1e-9)
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -139,6 +139,19 @@ def test_lsh_recall_at_the_threshold():
         assert all(a == b for a, b in found)
 
 
+def test_exact_copies_of_every_length_are_found():
+    rng = np.random.default_rng(3)
+    draw = lambda n: rng.integers(1, 1 << 62, n, dtype=np.uint64) | np.uint64(1)
+    items = [(i, draw(8 + i % 23)) for i in range(920)]
+    index = decontaminate.build_index(items, 3, 4, 3, 5)
+    texts, first = [], [0]
+    for _, words in items:
+        texts += [draw(20), words, draw(20)]
+        first.append(first[-1] + 40 + len(words))
+    found = decontaminate.search(index, np.concatenate(texts), np.array(first), 0.2 + 1e-9)
+    assert found == {(i, i): (0, 20) for i in range(len(items))}
+
+
 # --------------------------------------------------------------------- op 4
 
 
