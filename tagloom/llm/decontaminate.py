@@ -40,21 +40,48 @@ _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[0x80:] = True
 for _a, _b in (("0", "9"), ("a", "z")):
     _WORD_BYTE[ord(_a) : ord(_b) + 1] = True
+#: Code points of scripts without blanks, each character of which is a word: kana and Han, Thai and Lao, Burmese, Khmer.
+_UNSPACED = ((0x3005, 0x3007), (0x3021, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF), (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF))
+#: Punctuation of these scripts and full-width forms.
+_STOPS = ((0x3000, 0x3004), (0x3008, 0x3020), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+
+
+def _long_characters(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, code point and bytes of the characters of three or four bytes."""
+    lead = np.flatnonzero(raw >= 0xE0)
+    size = np.where(raw[lead] >= 0xF0, 4, 3)
+    lead, size = lead[lead + size <= len(raw)], size[lead + size <= len(raw)]
+    code = raw[lead].astype(np.int64) & np.where(size == 4, 0x07, 0x0F)
+    for k in (1, 2, 3):
+        code = np.where(k < size, code << 6 | raw[np.minimum(lead + k, len(raw) - 1)] & 0x3F, code)
+    return lead, code, size
+
+
+def _among(code: np.ndarray, ranges: tuple[tuple[int, int], ...]) -> np.ndarray:
+    return reduce(np.logical_or, ((code >= a) & (code <= b) for a, b in ranges))
 
 
 def normalised_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of letters and digits, case folded; first word per text."""
+    """Hashes of the words of letters and digits, case folded; first word per text.
+
+    In scripts without blanks every character is a word.
+    """
     raw = _FOLD[raw]
     lead = np.flatnonzero(raw[:-1] == 0xC3) + 1  # Latin-1 capitals in UTF-8
     capital = lead[(raw[lead] >= 0x80) & (raw[lead] <= 0x9E) & (raw[lead] != 0x97)]
     raw[capital] += 0x20
     inside = _WORD_BYTE[raw]
+    lead, code, size = _long_characters(raw)
+    stop = _among(code, _STOPS)
+    for k in range(3):
+        inside[lead[stop] + k] = False
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
-    last[:-1] &= ~inside[1:]
-    begins, closes = offsets[:-1][offsets[:-1] < len(raw)], offsets[1:][offsets[1:] > 0] - 1
+    alone = _among(code, _UNSPACED)
+    begins = np.concatenate([offsets[:-1], lead[alone], lead[alone] + size[alone]])
+    begins = begins[begins < len(raw)]
     first[begins] |= inside[begins]
-    last[closes] |= inside[closes]
+    last[:-1] &= ~inside[1:] | first[1:]
     starts = np.flatnonzero(first)
     return hash_spans(raw, starts, np.flatnonzero(last) + 1) | np.uint64(1), np.searchsorted(starts, offsets)
 
@@ -272,7 +299,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
     rows = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long"), "text").distinct().orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         words = _tokens(row["text"])
-        if len(words) >= 8:
+        if len(words):
             block.append((row["item_id"], words))
         if len(block) == BLOCK_ITEMS:
             yield block
@@ -286,12 +313,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_similarity: float = 0.
 
     An item occurs if some run of words of the text has a word edit distance to
     it of at most 1 - ``min_similarity`` of its words. Words are runs of letters
-    and digits without regard to case. Columns: doc_id, text_key (xxhash64 of the
+    and digits without regard to case, and single characters of scripts without
+    blanks. Columns: doc_id, text_key (xxhash64 of the
     text), item_id, edit_distance, item_words, similarity, at_word. ``walks`` x
     ``keys`` LSH repetitions give the recall that the tests measure; items of
     fewer than MIN_WORDS words are found without loss.
 
-    Defined cases: null or empty texts and items, and items of fewer than 8 words, match
+    Defined cases: null or empty texts and items, and items without a word, match
     nothing; an item_id of several texts matches by any; null
     doc_ids are kept; repeated rows give repeated results; other columns are
     ignored; empty tables give an empty result.

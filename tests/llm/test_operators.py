@@ -152,6 +152,39 @@ def test_exact_copies_of_every_length_are_found():
     assert found == {(i, i): (0, 20) for i in range(len(items))}
 
 
+def test_short_and_unspaced_items_are_found(spark):
+    items = {
+        1: "Paris", 2: "capital of France", 3: "who wrote the old play", 4: "what is the largest known prime",
+        5: "\u6c34\u7684\u5316\u5b66\u5f0f\u662f\u4ec0\u4e48\uff0c\u4e3a\u4ec0\u4e48\u51b0\u4f1a\u6d6e\u5728\u6c34\u9762\u4e0a", 6: "\u5929\u7a7a", 7: "...",
+    }
+    texts = {
+        1: "to paris by train", 2: "the Capital of France, seen", 3: "the capital of old France", 4: "Who wrote that old play?", 5: "wrote the old play", 6: "who wrote one old song",
+        7: "is what is the very largest known prime", 8: "\u8bf7\u95ee" + items[5].replace("\uff0c", "\u3002").replace("\u51b0", "\u96ea") + "\u5417", 9: "\u5929\u7a7aparis", 10: "...", 11: "",
+    }
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    found = decontaminate.find_leaks(frame, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["edit_distance"]) for r in found) == [(1, 1, 0), (2, 2, 0), (4, 3, 1), (5, 3, 1), (7, 4, 1), (8, 5, 1), (9, 1, 0), (9, 6, 0)]
+
+
+def test_short_items_equal_brute_force():
+    rng = np.random.default_rng(8)
+    items = [(i, rng.integers(0, 6, int(rng.integers(1, 13))).astype(np.uint64) * np.uint64(2) + np.uint64(1)) for i in range(60)]
+    texts = [rng.integers(0, 6, int(n)).astype(np.uint64) * np.uint64(2) + np.uint64(1) for n in rng.integers(0, 14, 80)]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    found = decontaminate.search(decontaminate.build_index(items, 3, 4, 3, 5), np.concatenate(texts), first, 0.2 + 1e-9)
+    want = {}
+    for i, words in items:
+        for t, text in enumerate(texts):
+            row = [0] * (len(text) + 1)
+            for n, word in enumerate(words, 1):
+                old, row = row, [n]
+                for m, other in enumerate(text):
+                    row.append(min(old[m] + int(word != other), old[m + 1] + 1, row[m] + 1))
+            if min(row) <= int(len(words) * (0.2 + 1e-9)):
+                want[t, i] = min(row)
+    assert {k: v[0] for k, v in found.items()} == want
+
+
 # --------------------------------------------------------------------- op 4
 
 
