@@ -101,17 +101,19 @@ class ShardStore:
         A shard of half the target is done. A run is due with ``fanout`` shards or
         half the target, if it is at least twice its largest shard: so a merge
         doubles every shard in it, and no row is written more often than the
-        target can be halved.
+        target can be halved. A shard larger than all smaller ones of its run is
+        left out, and the smaller ones are merged without it.
         """
         small = manifest.where(F.col("bytes") * 2 < self.target_bytes)
         lanes = max(1, -(-small.count() // WAVE_SHARDS))
         small = small.withColumn("lane", F.pmod(F.xxhash64("path"), F.lit(lanes)))
         order = Window.partitionBy("lane").orderBy("bytes", "first_id", "path")
         cut = small.withColumn("cut", F.floor((F.sum("bytes").over(order) - F.col("bytes")) / self.target_bytes))
-        run = Window.partitionBy("lane", "cut")
-        sums = cut.withColumns({"members": F.count("*").over(run), "total": F.sum("bytes").over(run), "largest": F.max("bytes").over(run)})
-        due = (F.col("members") >= self.fanout) | ((F.col("members") > 1) & (F.col("total") * 2 >= self.target_bytes))
-        runs = sums.where(due & (F.col("total") >= F.col("largest") * 2))
+        upward = Window.partitionBy("lane", "cut").orderBy("bytes", "first_id", "path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = cut.withColumns({"place": F.count("*").over(upward), "upto": F.sum("bytes").over(upward)})
+        due = (F.col("place") >= self.fanout) | ((F.col("place") > 1) & (F.col("upto") * 2 >= self.target_bytes))
+        last = F.max(F.when(due & (F.col("upto") >= F.col("bytes") * 2), F.col("place"))).over(Window.partitionBy("lane", "cut"))
+        runs = sums.withColumn("last", last).where(F.col("place") <= F.col("last"))
         return runs.select("lane", (F.dense_rank().over(Window.partitionBy("lane").orderBy("cut")) - 1).alias("run"), "path")
 
     def compact(self) -> int | None:

@@ -322,6 +322,28 @@ def test_store_compacts_and_keeps_versions(spark, docs, none):
     assert store.read().count() == 7 * len(ROWS)
 
 
+def test_small_shards_merge_beside_a_large_one(spark):
+    store = sharding.ShardStore(spark, scratch_path(spark, "s"), target_bytes=128_000_000)
+    planned = lambda sizes: store._plan(spark.createDataFrame([(f"p{i}", 0, 1, n, i, i, 1) for i, n in enumerate(sizes)], sharding.MANIFEST)).collect()
+    assert sorted(r["path"] for r in planned([60_000_000] + [1_000_000] * 59)) == sorted(f"p{i}" for i in range(1, 60))
+    assert len(planned([60_000_000] + [10_000] * 3000)) == 3000
+    assert planned([1, 2, 4, 8, 16, 32]) == []
+    assert len(planned([1, 2, 4, 8, 16, 32, 32])) == 7
+
+
+def test_small_arrivals_after_a_large_one(spark):
+    schema = "doc_id long, text string"
+    big = spark.createDataFrame(np.random.default_rng(0).integers(0, 1 << 62, (1500, 1)).tolist(), "doc_id long").withColumn("text", F.sha2(F.col("doc_id").cast("string"), 256))
+    store = sharding.ShardStore(spark, scratch_path(spark, "s"), target_bytes=1, fanout=3)
+    store.append(big.coalesce(1))
+    store.target_bytes = store.manifest().first()["bytes"] * 2 + 2
+    for k in range(6):
+        store.append(spark.createDataFrame([(k, "small")], schema).coalesce(1))
+    store.compact_all()
+    assert store.manifest().count() == 2
+    assert store.read().count() == 1506
+
+
 def test_store_refuses_a_version_twice(spark, docs):
     store = sharding.ShardStore(spark, scratch_path(spark, "s"))
     store.append(docs)
