@@ -31,7 +31,9 @@ class ShardStore:
 
     Defined cases: an append of no rows commits a version without new shards;
     rows are stored as they come, so nulls, empty or long texts, ties and
-    repeated rows are kept; any further columns are stored too.
+    repeated rows are kept; any further columns are stored too,
+    also those that only some appends have; a column of types that do not merge
+    is an error when shards are read, not a loss.
     """
 
     def __init__(self, spark: SparkSession, root: str, target_bytes: int = 128 << 20, fanout: int = 4):
@@ -71,6 +73,10 @@ class ShardStore:
             raise
         return version
 
+    def _rows_in(self, paths: list[str]) -> DataFrame:
+        """Rows of shards with the columns of all of them; a shard without a column has nulls there."""
+        return self.spark.read.option("mergeSchema", True).parquet(*paths)
+
     def _shards_in(self, folder: str, version: int) -> DataFrame:
         """A manifest row per file of a folder just written."""
         try:
@@ -131,7 +137,7 @@ class ShardStore:
             wave = plan.where(F.col("lane") == lane)
             paths = [r["path"] for r in wave.select("path").orderBy("path").toLocalIterator()]
             runs = wave.agg(F.max("run")).first()[0] + 1
-            shards = self.spark.read.parquet(*paths)
+            shards = self._rows_in(paths)
             columns = shards.columns
             keyed = shards.withColumn("__path", F.col("_metadata.file_path")).join(
                 F.broadcast(wave.select(F.col("path").alias("__path"), F.col("run").alias("__run"))), "__path"
@@ -178,11 +184,11 @@ class ShardStore:
         for row in shards.select("path").orderBy("path").toLocalIterator():
             batch.append(row["path"])
             if len(batch) == WAVE_SHARDS:
-                parts.append(self.spark.read.parquet(*batch).select("*", own))
+                parts.append(self._rows_in(batch).select("*", own))
                 batch = []
         if batch or not parts:  # without shards, the columns of what was appended
-            parts.append(self.spark.read.parquet(*batch).select("*", own) if batch else self.spark.read.parquet(f"{self.root}/data/*").select("*", own).where("false"))
+            parts.append(self._rows_in(batch).select("*", own) if batch else self._rows_in([f"{self.root}/data/*"]).select("*", own).where("false"))
         rows = parts[0]
         for part in parts[1:]:
-            rows = rows.unionByName(part)
+            rows = rows.unionByName(part, allowMissingColumns=True)
         return rows.join(numbered.withColumnRenamed("path", "shard_path"), "shard_path").drop("shard_path")

@@ -344,6 +344,20 @@ def test_small_arrivals_after_a_large_one(spark):
     assert store.read().count() == 1506
 
 
+def test_store_keeps_columns_of_any_append(spark):
+    store = sharding.ShardStore(spark, scratch_path(spark, "s"), target_bytes=60_000, fanout=2)
+    store.append(spark.createDataFrame([(1, "a")], "doc_id long, text string").coalesce(1))
+    store.append(spark.createDataFrame([(2, "b", 7)], "doc_id long, text string, stars int").coalesce(1))
+    store.append(spark.createDataFrame([(3, "x")], "doc_id long, site string").coalesce(1))
+    want = [(1, "a", None, None), (2, "b", 7, None), (3, None, None, "x")]
+    rows = lambda: sorted(tuple(r) for r in store.read().select("doc_id", "text", "stars", "site").collect())
+    assert rows() == want
+    store.compact_all()
+    store.expire()
+    assert store.manifest().count() == 1
+    assert rows() == want
+
+
 def test_store_refuses_a_version_twice(spark, docs):
     store = sharding.ShardStore(spark, scratch_path(spark, "s"))
     store.append(docs)
