@@ -53,6 +53,11 @@ def sized(keys: DataFrame, limit: int = 1_000_000) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= limit else keys
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """``df`` as one column ``row``: what an operator adds cannot clash with the caller's names."""
+    return df.select(F.struct(*(df[f"`{c.replace('`', '``')}`"] for c in df.columns)).alias("row"))
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body`` as a variable.
 
@@ -71,32 +76,36 @@ def words_of(text: Column) -> Column:
 
 
 def connected_components(edges: DataFrame, name: str) -> DataFrame:
-    """(node, component) for every node of ``edges(src, dst)``.
+    """(node, component) for every node of ``edges(src, dst)``; the component is its smallest node.
 
-    Minimum-label propagation with pointer jumping; each round is a handful of
-    joins whose result is written to the shared folder. The component is the
-    smallest node in it.
+    Randomised contraction: each round every node joins the one of least hash among
+    itself and its neighbours, and links are carried over to those. At least a
+    quarter of the nodes goes in a round, as expected, and links never grow, so
+    rounds are few and each is smaller than the one before; results are written
+    to the shared folder. A link of a node with itself is ignored.
     """
-    links = materialise(edges.where("src <> dst").select("src", "dst").distinct(), f"{name}-edges")
-    way = lambda a, b: F.struct(F.col(a).alias("src"), F.col(b).alias("dst"))
-    both = links.select(F.explode(F.array(way("src", "dst"), way("dst", "src"))).alias("e")).select("e.*")
-    labels = materialise(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low")).select("node", F.least("node", "low").alias("component")), f"{name}-labels")
+    links = materialise(edges.where("src <> dst").select("src", "dst").distinct(), f"{name}-links")
+    levels: list[DataFrame] = []
     while True:
-        seen = (
-            both.join(labels.withColumnRenamed("node", "dst"), "dst")
-            .groupBy(F.col("src").alias("node"))
-            .agg(F.min("component").alias("near"))
-        )
-        hooked = labels.join(seen, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("label"))
-        step = materialise(hooked, f"{name}-hook")
-        ahead = step.select(F.col("node").alias("label"), F.col("label").alias("ahead"))
-        after = materialise(
-            step.join(ahead, "label").select("node", "was", F.least("label", "ahead").alias("component")),
-            f"{name}-labels",
-        )
-        labels = after.select("node", "component")
-        if after.where("component <> was").isEmpty():
-            return labels
+        way = lambda a, b: F.struct(F.col(a).alias("node"), F.col(b).alias("near"))
+        both = links.select(F.explode(F.array(way("src", "dst"), way("dst", "src"))).alias("e")).select("e.*")
+        place = lambda c: F.xxhash64(c, F.lit(len(levels)))
+        least = both.groupBy("node").agg(F.min_by("near", place("near")).alias("near"))
+        into = F.when(place("near") < place("node"), F.col("near")).otherwise(F.col("node"))
+        level = materialise(least.select("node", into.alias("into")), f"{name}-level")
+        levels.append(level)
+        # a level has one row per node, so these joins give one row per link at most
+        ends = links.join(level.select(F.col("node").alias("src"), F.col("into").alias("a")), "src")
+        ends = ends.join(level.select(F.col("node").alias("dst"), F.col("into").alias("b")), "dst").where("a <> b")
+        links = materialise(ends.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct(), f"{name}-links")
+        if links.isEmpty():
+            break
+    labels = levels.pop()
+    while levels:
+        ahead = sized(labels.select(F.col("node").alias("into"), F.col("into").alias("root")))
+        labels = materialise(levels.pop().join(ahead, "into", "left").select("node", F.coalesce("root", "into").alias("into")), f"{name}-labels")
+    smallest = materialise(labels.groupBy("into").agg(F.min("node").alias("component")), f"{name}-smallest")
+    return labels.join(sized(smallest), "into").select("node", "component")
 
 
 # ------------------------------------------------------------- words in numpy
