@@ -46,6 +46,15 @@ _UNSPACED = ((0x3005, 0x3007), (0x3021, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3
 _STOPS = ((0x3000, 0x3004), (0x3008, 0x3020), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
 
 
+def folded_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of UTF-8 text in lower case, and which of them belong to words."""
+    raw = _FOLD[raw]
+    lead = np.flatnonzero(raw[:-1] == 0xC3) + 1  # Latin-1 capitals in UTF-8
+    capital = lead[(raw[lead] >= 0x80) & (raw[lead] <= 0x9E) & (raw[lead] != 0x97)]
+    raw[capital] += 0x20
+    return raw, _WORD_BYTE[raw]
+
+
 def _long_characters(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Place, code point and bytes of the characters of three or four bytes."""
     lead = np.flatnonzero(raw >= 0xE0)
@@ -66,11 +75,7 @@ def normalised_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray,
 
     In scripts without blanks every character is a word.
     """
-    raw = _FOLD[raw]
-    lead = np.flatnonzero(raw[:-1] == 0xC3) + 1  # Latin-1 capitals in UTF-8
-    capital = lead[(raw[lead] >= 0x80) & (raw[lead] <= 0x9E) & (raw[lead] != 0x97)]
-    raw[capital] += 0x20
-    inside = _WORD_BYTE[raw]
+    raw, inside = folded_words(raw)
     lead, code, size = _long_characters(raw)
     stop = _among(code, _STOPS)
     for k in range(3):
