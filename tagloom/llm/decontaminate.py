@@ -23,12 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import hash_spans, materialise, mix, sized, text_slices
+from tagloom.llm.common import hash_spans, materialise, mix, packed, sized, text_slices
 
 #: Consecutive words of which one at least begins a window.
 MINIMISER = 6
-#: Items whose keys one pass over the texts holds.
+#: Items, and words of items, whose keys one pass over the texts holds.
 BLOCK_ITEMS = 20_000
+BLOCK_WORDS = 1 << 20
+#: Window lengths: each about half as long again as the one before.
+WINDOWS = (8, 12, 18, 27, 40, 60, 90, 135, 202, 303, 454, 681, 1021)
 #: Items of fewer words are found by their pieces; from here on a window starts early enough to fit.
 MIN_WORDS = 13
 
@@ -42,8 +45,8 @@ for _a, _b in (("0", "9"), ("a", "z")):
     _WORD_BYTE[ord(_a) : ord(_b) + 1] = True
 #: Code points of scripts without blanks, each character of which is a word: kana and Han, Thai and Lao, Burmese, Khmer.
 _UNSPACED = ((0x3005, 0x3007), (0x3021, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF), (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF))
-#: Punctuation of these scripts and full-width forms.
-_STOPS = ((0x3000, 0x3004), (0x3008, 0x3020), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+#: General punctuation, currency, arrows to dingbats, punctuation of these scripts and full-width forms.
+_STOPS = ((0x2000, 0x206F), (0x20A0, 0x20CF), (0x2190, 0x2BFF), (0x2E00, 0x2E7F), (0x3000, 0x3004), (0x3008, 0x3020), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
 
 
 def folded_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,7 +55,11 @@ def folded_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lead = np.flatnonzero(raw[:-1] == 0xC3) + 1  # Latin-1 capitals in UTF-8
     capital = lead[(raw[lead] >= 0x80) & (raw[lead] <= 0x9E) & (raw[lead] != 0x97)]
     raw[capital] += 0x20
-    return raw, _WORD_BYTE[raw]
+    inside = _WORD_BYTE[raw]
+    # signs of two bytes: no-break space to inverted question mark but for three letters, times, divided by
+    lead = np.flatnonzero((raw[:-1] == 0xC2) & ~np.isin(raw[1:], (0xAA, 0xB5, 0xBA)) | (raw[:-1] == 0xC3) & np.isin(raw[1:], (0x97, 0xB7)))
+    inside[lead] = inside[lead + 1] = False
+    return raw, inside
 
 
 def _long_characters(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,8 +111,8 @@ def window_starts(words: np.ndarray) -> np.ndarray:
 
 
 def window_class(words: int) -> int:
-    """Log2 of the window length for items of so many words."""
-    return max(2, int(words * 3 / 4).bit_length() - 1)
+    """The longest window that fits into an item of so many words from each of its first MINIMISER - 1 words on."""
+    return max(0, int(np.searchsorted(WINDOWS, words - MINIMISER + 1, side="right")) - 1)
 
 
 class Walks:
@@ -113,19 +120,19 @@ class Walks:
 
     def __init__(self, classes: list[int], walks: int, keys: int, samples: int, seed: int):
         self.classes, self.walks, self.keys = classes, walks, keys
-        self.steps = {c: 3 * (1 << c) // 2 for c in classes}
+        steps = [3 * n // 2 for n in WINDOWS]
+        self.steps = {c: steps[c] for c in classes}
         rng = np.random.default_rng(seed)
         odd = lambda *shape: rng.integers(0, 1 << 63, shape, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        # drawn for every class up to the largest, so that keys do not depend on which classes occur
-        top = max(classes) + 1
-        self.turns = odd(walks, 3 * (1 << top) // 2)
+        # drawn for every class, so that keys do not depend on which classes occur
+        self.turns = odd(walks, steps[-1])
         self.uses: list[dict[int, list[tuple[int, int, np.uint64]]]] = []
-        self.salts = odd(walks, top, keys)
+        self.salts = odd(walks, len(WINDOWS), keys)
         for _ in range(walks):
             use: dict[int, list] = {}
-            for c in range(2, top):
+            for c, n in enumerate(steps):
                 for t in range(keys):
-                    at = rng.choice(3 * (1 << c) // 2, min(samples, 3 * (1 << c) // 2), replace=False)
+                    at = rng.choice(n, samples, replace=False)
                     for position, factor in zip(at, odd(len(at)), strict=True):
                         if c in self.steps:
                             use.setdefault(int(position), []).append((c, t, factor))
@@ -181,7 +188,7 @@ def build_pieces(items: list[tuple[int, np.ndarray]], max_share: float) -> dict[
 
 
 class Index(NamedTuple):
-    """Keys of a block of items; bounded by BLOCK_ITEMS."""
+    """Keys of a block of items; bounded by BLOCK_ITEMS and BLOCK_WORDS."""
 
     pieces: dict[int, Pieces]
     walks: Walks | None
@@ -204,7 +211,7 @@ def build_index(items: list[tuple[int, np.ndarray]], walks: int, keys: int, samp
             continue
         own = window_class(len(words))
         starts = window_starts(words)
-        starts = starts[starts <= len(words) - (1 << own)]
+        starts = starts[starts <= len(words) - WINDOWS[own]]
         padded = np.concatenate([words, np.zeros(walk.pad, np.uint64)])
         for c, key in walk.run(padded, starts):
             if c == own:
@@ -213,7 +220,7 @@ def build_index(items: list[tuple[int, np.ndarray]], walks: int, keys: int, samp
     for c in classes:
         key, number, start = (np.concatenate([x[k] for x in found[c]]) for k in range(3))
         order = np.argsort(key, kind="stable")
-        bits = min(27, max(16, len(key).bit_length() + 7))
+        bits = min(24, max(16, len(key).bit_length() + 6))
         index.keys[c], index.entries[c], index.shift[c] = key[order], (number[order], start[order]), np.uint64(64 - bits)
         index.marks[c] = np.zeros(1 << bits, bool)
         index.marks[c][key >> index.shift[c]] = True
@@ -298,22 +305,25 @@ def _tokens(text: str) -> np.ndarray:
     return normalised_words(raw, np.array([0, len(raw)]))[0] if len(raw) else np.zeros(0, np.uint64)
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, np.ndarray]]]:
     """Items in blocks; the driver holds one block."""
-    block: list[tuple[int, np.ndarray]] = []
-    rows = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long"), "text").distinct().orderBy("item_id", "text")
+    block: list[tuple[int | None, np.ndarray]] = []
+    held = 0
+    rows = benchmark.where("text is not null").select(F.col("item_id").cast("long"), F.lower("text").alias("text")).distinct().orderBy("item_id", "text")
     for row in rows.toLocalIterator():
         words = _tokens(row["text"])
-        if len(words):
-            block.append((row["item_id"], words))
-        if len(block) == BLOCK_ITEMS:
+        if not len(words):
+            continue
+        if block and (len(block) == BLOCK_ITEMS or held + len(words) > BLOCK_WORDS):
             yield block
-            block = []
+            block, held = [], 0
+        block.append((row["item_id"], words))
+        held += len(words)
     if block:
         yield block
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, min_similarity: float = 0.8, walks: int = 3, keys: int = 4, samples: int = 3, seed: int = 5) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, min_similarity: float = 0.8, walks: int = 4, keys: int = 5, samples: int = 3, seed: int = 5) -> DataFrame:
     """Benchmark items that occur in texts: one row per row of ``docs`` and item.
 
     An item occurs if some run of words of the text has a word edit distance to
@@ -325,12 +335,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_similarity: float = 0.
     fewer than MIN_WORDS words are found without loss.
 
     Defined cases: null or empty texts and items, and items without a word, match
-    nothing; an item_id of several texts matches by any; null
-    doc_ids are kept; repeated rows give repeated results; other columns are
-    ignored; empty tables give an empty result.
+    nothing; an item_id of several texts matches by any; items without an item_id
+    are items of their own, found with a null item_id; null doc_ids are kept; a very
+    long text is searched whole; repeated rows give repeated results; other columns
+    are ignored; empty tables give an empty result. Texts are scanned once per
+    BLOCK_ITEMS items or BLOCK_WORDS words of items.
     """
     parts = []
-    source = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
+    source = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.lower("text").alias("text"))
     names = ["doc_id", "text_key", "item_id", "edit_distance", "item_words", "similarity", "at_word"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64()]
     for block in _blocks(benchmark):
@@ -345,12 +357,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_similarity: float = 0.
                     words, first = normalised_words(raw, offsets)
                     if not len(words):
                         continue
-                    best: dict[tuple[int, int], tuple] = {}
+                    best: dict[tuple, tuple] = {}
                     for (text, item), (distance, at) in search(index, words, first, 1 - min_similarity + 1e-9).items():
                         item_id, symbols = index.items[item]
                         hit = (distance, len(symbols), 1 - distance / len(symbols), at)
-                        best[text, item_id] = min(best.get((text, item_id), hit), hit)
-                    for (text, item_id), hit in best.items():
+                        own = (text, item_id, item if item_id is None else None)
+                        best[own] = min(best.get(own, hit), hit)
+                    for (text, item_id, _), hit in best.items():
                         out.append((batch.column("doc_id")[row + text].as_py(), batch.column("text_key")[row + text].as_py(), item_id, *hit))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
@@ -362,6 +375,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_similarity: float = 0.
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item, with all their columns."""
-    leaked = materialise(find_leaks(docs, benchmark, **options).select(F.col("text_key").alias("leaked_key")).distinct(), "leaks")
-    return docs.join(sized(leaked), F.xxhash64(docs["text"]) == F.col("leaked_key"), "left_anti")
+    """The rows of ``docs`` whose text holds no benchmark item, with all their columns, whatever their names.
+
+    Defined cases: those of :func:`find_leaks`; so null and empty texts stay, of
+    repeated rows all stay or none, and without a benchmark every row stays.
+    """
+    leaked = materialise(find_leaks(docs, benchmark, **options).select(F.col("text_key").alias("key")).distinct(), "leaks")
+    return packed(docs).withColumn("key", F.xxhash64("row.text")).join(sized(leaked), "key", "left_anti").select("row.*")
