@@ -144,11 +144,13 @@ class Walks:
         for w in range(self.walks):
             at = starts.copy()
             sums = {(c, t): np.full(len(starts), self.salts[w, c, t]) for c in self.classes for t in range(self.keys)}
+            symbol, product = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64)
             for j in range(max(self.steps.values())):
-                symbol = padded[at]
+                np.take(padded, at, out=symbol, mode="clip")
                 for c, t, factor in self.uses[w].get(j, ()):
-                    sums[c, t] += symbol * factor
-                at += ((symbol * self.turns[w, j]) >> np.uint64(63)).astype(np.int64)
+                    sums[c, t] += np.multiply(symbol, factor, out=product)
+                np.multiply(symbol, self.turns[w, j], out=product)
+                at += np.right_shift(product, np.uint64(63), out=product).view(np.int64)
             for (c, _), key in sums.items():
                 yield c, key
 
@@ -278,21 +280,38 @@ def search(index: Index, words: np.ndarray, first: np.ndarray, max_share: float)
         if len(place):
             meet(pieces.numbers[entry], place - pieces.offsets[entry], place)
     found: dict[tuple[int, int], tuple[int, int]] = {}
+    short = (words >> np.uint64(48)).astype(np.uint16)
     for item, places in met.items():
         symbols = index.items[item][1]
         allowed = int(len(symbols) * max_share)
         slack = allowed + 1
         begin, text = (np.concatenate(x) for x in zip(*places, strict=True))
-        once = np.unique(np.stack([text, begin]), axis=1)
-        for cut in range(0, once.shape[1], 1 << 14):
-            text, begin = once[:, cut : cut + (1 << 14)]
-            span = begin[:, None] - slack + np.arange(len(symbols) + 2 * slack)
-            inside = (span >= first[text][:, None]) & (span < first[text + 1][:, None])
-            regions = np.where(inside, padded[np.clip(span, 0, len(words) - 1)], np.uint64(0))
-            near = np.flatnonzero(np.isin(regions, symbols).sum(axis=1) >= len(symbols) - allowed)
+        lead = 1 << 32  # a slice has fewer words, and begins lie at most an item before it
+        once = np.unique(text * (2 * lead) + begin + lead)
+        # each word of the item is one of 64 bits; a region without so many of the bits cannot hold it
+        held = (symbols >> np.uint64(48)).astype(np.uint16)
+        bit = np.zeros(1 << 16, np.uint64)
+        bit[held] = np.uint64(1) << (np.arange(len(held)) % 64).astype(np.uint64)
+        least = int(np.bitwise_count(np.bitwise_or.reduce(bit[held]))) - allowed
+        own = (bit != 0).view(np.uint8)
+        for cut in range(0, len(once), 1 << 14):
+            text, begin = once[cut : cut + (1 << 14)] // (2 * lead), once[cut : cut + (1 << 14)] % (2 * lead) - lead
+            # a region with too few words of the item's 16 bits cannot hold it
+            low, high = (np.clip(x, first[text], first[text + 1]) for x in (begin - slack, begin + len(symbols) + slack))
+            base = low.min()
+            counts = np.zeros(high.max() - base + 1, np.int32)
+            np.cumsum(own[short[base : high.max()]], out=counts[1:])
+            near = np.flatnonzero(counts[high - base] - counts[low - base] >= len(symbols) - allowed)
             for part in range(0, len(near), 512):
                 some = near[part : part + 512]
-                distance, end = fitting_distance(symbols, regions[some])
+                span = begin[some][:, None] - slack + np.arange(len(symbols) + 2 * slack)
+                inside = (span >= low[some][:, None]) & (span < high[some][:, None])
+                span = np.clip(span, 0, len(words) - 1)
+                full = np.bitwise_count(np.bitwise_or.reduce(bit[short[span]] * inside, axis=1)) >= least
+                some, span, inside = some[full], span[full], inside[full]
+                if not len(some):
+                    continue
+                distance, end = fitting_distance(symbols, np.where(inside, words[span], np.uint64(0)))
                 for k in np.flatnonzero(distance <= allowed):
                     i = some[k]
                     at = max(0, int(begin[i] - slack + end[k] - len(symbols) - first[text[i]]))
