@@ -53,9 +53,15 @@ def sized(keys: DataFrame, limit: int = 1_000_000) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= limit else keys
 
 
-def packed(df: DataFrame) -> DataFrame:
-    """``df`` as one column ``row``: what an operator adds cannot clash with the caller's names."""
-    return df.select(F.struct(*(df[f"`{c.replace('`', '``')}`"] for c in df.columns)).alias("row"))
+def coded(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named _0, _1 and so on, and these by name: what an operator adds cannot clash with the caller's names."""
+    names = {c: f"_{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def decoded(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The caller's columns of a frame that :func:`coded` named."""
+    return df.select(*(F.col(own).alias(name) for name, own in names.items()))
 
 
 def let(value: Column, body) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import hash_spans, materialise, mix, packed, sized, text_slices
+from tagloom.llm.common import coded, decoded, hash_spans, materialise, mix, sized, text_slices
 
 #: Consecutive words of which one at least begins a window.
 MINIMISER = 6
@@ -400,4 +400,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     repeated rows all stay or none, and without a benchmark every row stays.
     """
     leaked = materialise(find_leaks(docs, benchmark, **options).select(F.col("text_key").alias("key")).distinct(), "leaks")
-    return packed(docs).withColumn("key", F.xxhash64("row.text")).join(sized(leaked), "key", "left_anti").select("row.*")
+    own, names = coded(docs)
+    return decoded(own.withColumn("key", F.xxhash64(names["text"])).join(sized(leaked), "key", "left_anti"), names)

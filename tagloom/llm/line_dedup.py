@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import connected_components, let, scratch_path, sized
+from tagloom.llm.common import coded, connected_components, decoded, let, scratch_path, sized
 
 
 def threshold(length: Column, max_edits: int, min_segment: int) -> Column:
@@ -149,10 +149,13 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_segment: int = 12, blo
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with texts from which all but the first line of each class are gone.
 
-    Blank lines stay; a text of which no line is left becomes empty.
+    Defined cases: blank lines stay; a text of which no line is left becomes empty;
+    null and empty texts stay as they are; of repeated rows each keeps the first
+    lines; columns may have any names; an empty table gives an empty result.
     """
-    gone = line_classes(docs, **options).where("not kept").groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))
-    gone = gone.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"), "gone")
-    found = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_text")), "left")
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
-    return found.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(left)).select(*docs.columns)
+    gone = line_classes(docs, **options).where("not kept").groupBy(F.struct("doc_id", "text_key").alias("key")).agg(F.collect_set("line_no").alias("gone"))
+    own, names = coded(docs)
+    text = names["text"]
+    found = own.withColumn("key", F.struct(F.col(names["doc_id"]).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"))).join(gone, "key", "left")
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("gone", i)), "\n")
+    return decoded(found.withColumn(text, F.when(F.col("gone").isNull(), F.col(text)).otherwise(left)), names)

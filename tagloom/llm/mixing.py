@@ -1,8 +1,9 @@
 """Mixing sources to target weights in fixed-length word blocks.
 
-Every source is one stream of words, cut into blocks. An output shard draws how
-many blocks it takes from each source, slots of a source map to its blocks
-through a pseudorandom permutation, and blocks join texts by index.
+Every source is one stream of words, cut into blocks. The sources' slots are dealt
+to the output shards by a pseudorandom permutation, so the counts of a shard are a
+multinomial draw given the sources' totals; slots of a source map to its blocks
+through a permutation of the source's own, and blocks join texts by index.
 """
 
 from __future__ import annotations
@@ -10,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import WORD_PATTERN, let, materialise
+from tagloom.llm.common import WORD_PATTERN, coded, decoded, let, materialise
+from tagloom.llm.common import sized as sized_keys
 
-#: Rows of a source that one window partition numbers.
-BUCKET_ROWS = 10_000
+#: Rows of all sources per bucket, and buckets per group, that one window partition adds up.
+BUCKET_ROWS = 1_000
+GROUP_BUCKETS = 1_000
 #: Rounds of the index permutation.
 ROUNDS = 12
 #: Slots that one task fills.
@@ -72,41 +75,31 @@ def _permuted(index: Column, n: Column, *key: Column) -> Column:
 def slot_plan(targets: DataFrame, block: int, cap: float, shard_blocks: int, seed: int) -> DataFrame:
     """(out_shard, slot, source_no, block): which block fills each slot.
 
-    The counts of a shard are one systematic multinomial draw: a single random
-    offset per shard places its slots evenly on the sources' cumulative shares,
-    so each expected count is exact and each count is off by less than one.
+    A source has the slots that its target asks for. All slots of all sources are
+    numbered, and a permutation of the numbers deals them to the shards: the counts
+    that a shard draws are multinomial with the sources' totals given, so they vary
+    from shard to shard while every source comes to its target.
     """
     everything = Window.partitionBy()
-    order = Window.orderBy("source_no")
-    drawn = F.when(F.col("source_size") > 0, F.col("target") * F.col("n_blocks") / F.col("source_size")).otherwise(0.0)
-    shares = (
-        targets.withColumn("blocks", drawn)
-        .withColumn("all_blocks", F.round(F.sum("blocks").over(everything)).cast("long"))
-        .withColumn("upto", F.sum("blocks").over(order) / F.sum("blocks").over(everything))
-        .withColumn("upto", F.when(F.col("source_no") == F.max("source_no").over(everything), 1.0).otherwise(F.col("upto")))
-        .withColumn("from", F.coalesce(F.lag("upto").over(order), F.lit(0.0)))
-        .where("n_blocks > 0 and all_blocks > 0")
-    )
-    per_shard = shares.withColumn("out_shard", F.explode(F.sequence(F.lit(0), ((F.col("all_blocks") - 1) / shard_blocks).cast("long"))))
-    slots = F.least(F.lit(shard_blocks), F.col("all_blocks") - F.col("out_shard") * shard_blocks)
-    offset = F.pmod(F.xxhash64(F.lit(seed), "out_shard"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    counted = per_shard.withColumn("first", F.ceil(slots * F.col("from") - offset)).withColumn("count", F.ceil(slots * F.col("upto") - offset) - F.col("first"))
-    so_far = Window.partitionBy("source_no").orderBy("out_shard").rowsBetween(Window.unboundedPreceding, -1)
-    placed = materialise(counted.withColumn("base", F.coalesce(F.sum("count").over(so_far), F.lit(0))).where("count > 0"), "mix-counts")
-    # the counts are few and small, so Spark would fill all slots in one task
-    slots_in_all = placed.agg(F.sum("count")).first()[0] or 0
-    tasks = max(targets.sparkSession.sparkContext.defaultParallelism, -(-int(slots_in_all) // TASK_SLOTS))
-    filled = placed.repartition(tasks, "out_shard", "source_no")
-    filled = filled.select("out_shard", "source_no", "n_blocks", "base", "first", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("t"))
-    nth = F.col("base") + F.col("t")
-    # a block is taken at most ``cap`` times; a slot beyond stays empty
-    filled = filled.withColumn("turn", F.floor(nth / F.col("n_blocks"))).where(F.col("turn") < int(cap))
-    filled = filled.select(
-        "out_shard",
-        (F.col("first") + F.col("t")).alias("slot"),
+    order = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)
+    # a block is taken at most ``cap`` times
+    wanted = F.least(F.round(F.col("target") * F.col("n_blocks") / F.col("source_size")).cast("long"), F.col("n_blocks") * int(cap))
+    owned = targets.where("source_size > 0").withColumn("slots", wanted).where("slots > 0")
+    owned = owned.withColumns({"base": F.coalesce(F.sum("slots").over(order), F.lit(0)), "all_slots": F.sum("slots").over(everything)})
+    owned = materialise(owned.select("source_no", "n_blocks", "slots", "base", "all_slots"), "mix-owned")
+    # the table has a row per source, so Spark would fill all slots in one task
+    tasks = max(targets.sparkSession.sparkContext.defaultParallelism, -(-(owned.agg(F.max("all_slots")).first()[0] or 0) // TASK_SLOTS))
+    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / TASK_SLOTS)))
+    chunks = owned.withColumn("chunk", chunk).repartition(tasks, "source_no", "chunk")
+    first = F.col("chunk") * TASK_SLOTS
+    nth = F.explode(F.sequence(first, F.least(first + TASK_SLOTS, F.col("slots")) - 1)).alias("nth")
+    turn = F.floor(F.col("nth") / F.col("n_blocks"))
+    filled = chunks.select("source_no", "n_blocks", "base", "all_slots", nth).select(
+        _permuted(F.col("base") + F.col("nth"), F.col("all_slots"), F.lit(seed)).alias("place"),
         "source_no",
-        _permuted(nth % F.col("n_blocks"), F.col("n_blocks"), F.lit(seed), F.col("source_no"), F.col("turn")).alias("block"),
+        _permuted(F.col("nth") % F.col("n_blocks"), F.col("n_blocks"), F.lit(seed), F.col("source_no"), turn).alias("block"),
     )
+    filled = filled.select(F.floor(F.col("place") / shard_blocks).alias("out_shard"), (F.col("place") % shard_blocks).alias("slot"), "source_no", "block")
     # written, so that joins know its size
     return materialise(filled, "mix-slots")
 
@@ -114,18 +107,25 @@ def slot_plan(targets: DataFrame, block: int, cap: float, shard_blocks: int, see
 def _placed(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """Rows with their source's number and their first word's index in its stream.
 
-    A source is numbered in buckets of rows, so no source passes one task.
+    Sizes are added up in buckets of rows, buckets in groups, groups in sources, so
+    no source passes one task.
     """
     buckets = max(1, -(-sized.count() // BUCKET_ROWS))
     order = F.xxhash64("doc_id", "text_key")
     keyed = sized.withColumn("unnamed", F.col("source").isNull()).withColumn("source", F.coalesce("source", F.lit("")))
     numbers = targets.select(F.coalesce("source", F.lit("")).alias("source"), "unnamed", "source_no", "source_size", "target")
-    keyed = keyed.join(numbers, ["source", "unnamed"]).withColumn("bucket", F.pmod(order, F.lit(buckets)))
-    sums = keyed.groupBy("source_no", "bucket").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select("source_no", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("source_no", "bucket").orderBy(order, "doc_id", "text_key").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = keyed.withColumn("start", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    keyed = keyed.join(sized_keys(numbers), ["source", "unnamed"]).withColumn("bucket", F.pmod(order, F.lit(buckets)))
+
+    def before(partition: list[str], by: list, value: str) -> Column:
+        return F.coalesce(F.sum(value).over(Window.partitionBy(*partition).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    sums = keyed.groupBy("source_no", "bucket").agg(F.sum("size").alias("words")).withColumn("group", F.floor(F.col("bucket") / GROUP_BUCKETS))
+    sums = materialise(sums, "mix-buckets")
+    groups = sums.groupBy("source_no", "group").agg(F.sum("words").alias("words"))
+    groups = groups.select("source_no", "group", before(["source_no"], ["group"], "words").alias("group_base"))
+    bases = sums.select("source_no", "group", "bucket", before(["source_no", "group"], ["bucket"], "words").alias("base")).join(groups, ["source_no", "group"])
+    bases = materialise(bases.select("source_no", "bucket", (F.col("base") + F.col("group_base")).alias("base")), "mix-bases")
+    numbered = keyed.withColumn("start", before(["source_no", "bucket"], [order, "doc_id", "text_key"], "size"))
     return numbered.join(bases, ["source_no", "bucket"]).withColumn("start", F.col("start") + F.col("base")).drop("base", "bucket")
 
 
@@ -157,7 +157,8 @@ def taken_words(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: flo
     """Per row its size, its source's size and target, and the words the mix takes of it.
 
     Sources in code point order, null last, weigh ``weights`` in turn. Defined
-    cases: a null or empty text has size 0 and is never taken; null doc_ids and
+    cases: a null or empty text has size 0 and is never taken; a very long text is
+    many blocks; rows of one doc_id are ordered by a hash of their text; null doc_ids and
     repeated rows are rows like others; rows of a null source are one source;
     other columns are ignored; an empty table gives an empty result. The same
     input and seed give the same result, whatever the partitions.
@@ -179,19 +180,27 @@ def taken_words(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: flo
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mixed texts with the columns of ``docs``: one row per span that the mix takes.
 
-    ``text`` is the span with its own white space, ``n_chars`` its length;
-    repeated passes repeat rows.
+    ``text`` is the span with its own white space, ``n_chars`` its length; repeated
+    passes repeat rows. Rows come by output shard and slot: a partition holds whole
+    output shards in order, so files written from it keep the shards' composition.
+
+    Defined cases: those of :func:`taken_words`; texts without a word give no row, of
+    rows that repeat each gives its own spans once, columns may have any names, and an
+    empty table gives an empty result.
     """
-    spans = mix_spans(docs, **options).groupBy("doc_id", "source", "text_key").agg(F.collect_list(F.struct("start_word", "n_words")).alias("spans"))
-    spans = spans.select(F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"), F.col("text_key").alias("of_text"), "spans")
-    single = docs.withColumn("__key", F.xxhash64("text"))
-    found = single.join(
-        spans, (F.col("__key") == F.col("of_text")) & F.col("doc_id").eqNullSafe(F.col("of_id")) & F.col("source").eqNullSafe(F.col("of_source"))
-    )
-    if not docs.groupBy("doc_id", "source", F.xxhash64("text")).count().where("count > 1").isEmpty():
-        found = found.dropDuplicates(["of_id", "of_source", "of_text"])  # rows that repeat share their spans
-    tokens = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    cut = let(tokens, lambda t: F.transform("spans", lambda s: F.array_join(F.slice(t, s["start_word"].cast("int") + 1, s["n_words"].cast("int")), "")))
-    texts = found.withColumn("__span", F.explode(cut)).withColumn("__span", F.rtrim("__span", F.lit(" \t\n\x0b\x0c\r")))
-    changed = {"text": F.col("__span")} | ({"n_chars": F.length("__span").cast("long")} if "n_chars" in docs.columns else {})
-    return texts.withColumns(changed).select(*docs.columns)
+    spans = mix_spans(docs, **options)
+    key = F.struct("doc_id", "source", "text_key").alias("key")
+    spans = spans.groupBy(key).agg(F.collect_list(F.struct("start_word", "n_words", "out_shard", "slot")).alias("spans"))
+    own, names = coded(docs)
+    text = names["text"]
+    found = own.withColumn("key", F.struct(F.col(names["doc_id"]).alias("doc_id"), F.col(names["source"]).cast("string").alias("source"), F.xxhash64(text).alias("text_key")))
+    repeated = not found.groupBy("key").count().where("count > 1").isEmpty()
+    found = found.join(spans, "key")
+    found = found.dropDuplicates(["key"]) if repeated else found  # rows that repeat share their spans
+    tokens = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    piece = lambda t, s: F.rtrim(F.array_join(F.slice(t, s["start_word"].cast("int") + 1, s["n_words"].cast("int")), ""), F.lit(" \t\n\x0b\x0c\r"))
+    cut = let(tokens, lambda t: F.transform("spans", lambda s: F.struct(s["out_shard"].alias("out_shard"), s["slot"].alias("slot"), piece(t, s).alias("text"))))
+    texts = found.withColumn("piece", F.explode(cut))
+    changed = {text: F.col("piece.text")} | ({names["n_chars"]: F.length("piece.text").cast("long")} if "n_chars" in names else {})
+    texts = texts.withColumns({"out_shard": F.col("piece.out_shard"), "slot": F.col("piece.slot")} | changed).drop("piece", "spans", "key")
+    return decoded(texts.repartition("out_shard").sortWithinPartitions("out_shard", "slot"), names)

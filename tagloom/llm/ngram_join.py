@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import connected_components, gram_hashes, hash_spans, materialise, mix, packed, sized, split_words, text_slices
+from tagloom.llm.common import coded, connected_components, decoded, gram_hashes, hash_spans, materialise, mix, sized, split_words, text_slices
 
 #: N-grams of a block.
 BLOCK_GRAMS = 1 << 22
@@ -331,9 +331,10 @@ def drop_near_duplicates(docs: DataFrame, gram: int = 5, threshold: float = 0.8,
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
     decided = rows.join(sized(several), "class").groupBy("doc_id", "text_key").agg(F.max(stays).alias("stays"), F.count("*").alias("n"))
     decided = materialise(decided.where("not stays or n > 1").select(F.struct("doc_id", "text_key").alias("key"), "stays"), "join-dropped")
-    row = packed(docs).withColumn("key", F.struct(F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64("row.text").alias("text_key")))
-    kept = row.join(sized(decided), "key", "left_anti")
+    own, names = coded(docs)
+    own = own.withColumn("key", F.struct(F.col(names["doc_id"]).cast("long").alias("doc_id"), F.xxhash64(names["text"]).alias("text_key")))
+    kept = own.join(sized(decided), "key", "left_anti")
     repeated = decided.where("stays")
     if not repeated.isEmpty():
-        kept = kept.unionByName(row.join(sized(repeated.select("key")), "key", "left_semi").dropDuplicates(["key"]))
-    return kept.select("row.*")
+        kept = kept.unionByName(own.join(sized(repeated.select("key")), "key", "left_semi").dropDuplicates(["key"]))
+    return decoded(kept, names)
