@@ -1,10 +1,11 @@
 """Size-tiered compaction of immutable Parquet shards under a versioned manifest.
 
 A shard's tier is the number of times that its size has to grow ``fanout``-fold to
-reach the target. A store is a folder. Arrivals are appended as small shards; compaction merges
-runs of similarly sized shards into files of a target size. Neither changes a
-file: each writes new ones and commits a new manifest version, a table that
-names the live shards. A commit is one rename that fails if the version exists.
+reach the target. A store is a folder. Arrivals are appended as small shards;
+compaction merges runs of shards of one tier into files of at most the target size.
+Neither changes a file: each writes new ones and commits a new manifest version, a
+table that names the live shards. A commit is one rename that fails if the version
+exists.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ import math
 import uuid
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import coded
+
 #: Shards that one merge job reads: bounds the list of paths on the driver.
 WAVE_SHARDS = 10_000
 
@@ -26,14 +29,21 @@ class CommitConflictError(RuntimeError):
     """Another writer committed the same manifest version first."""
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores added while a column has it."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 class ShardStore:
     """Append-only shards of rows with a ``doc_id``, under ``root``.
 
     Defined cases: an append of no rows commits a version without new shards;
     rows are stored as they come, so nulls, empty or long texts, ties and
     repeated rows are kept; any further columns are stored too,
-    also those that only some appends have; a column of types that do not merge
-    is an error when shards are read, not a loss.
+    also those that only some appends have, under any names; a column of types that
+    do not merge is an error when shards are read, not a loss.
     """
 
     def __init__(self, spark: SparkSession, root: str, target_bytes: int = 128 << 20, fanout: int = 4):
@@ -67,12 +77,20 @@ class ShardStore:
         choice = self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 0)
         try:
             self._context.rename(self._fs.Path(staged), self._fs.Path(f"{self.root}/manifest/v{version:012d}"), choice)
-        except Exception as error:  # noqa: BLE001
+        except Exception as error:
+            self._remove(staged)
             if "AlreadyExists" in str(error):
                 raise CommitConflictError(f"version {version} exists") from error
             raise
         return version
 
+    def _remove(self, path: str) -> bool:
+        return bool(self._context.delete(self._fs.Path(path), True))
+
+    def _tier(self) -> Column:
+        """Of a size in ``bytes``; sizes of one tier differ by less than ``fanout`` times."""
+        return F.greatest(F.lit(0), F.ceil(F.log(F.lit(float(self.target_bytes)) / F.col("bytes")) / math.log(self.fanout))).cast("int")
+
     def _rows_in(self, paths: list[str]) -> DataFrame:
         """Rows of shards with the columns of all of them; a shard without a column has nulls there."""
         return self.spark.read.option("mergeSchema", True).parquet(*paths)
@@ -85,45 +103,53 @@ class ShardStore:
             if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 raise
             return self.spark.createDataFrame([], MANIFEST)
-        tier = F.greatest(F.lit(0), F.ceil(F.log(F.lit(float(self.target_bytes)) / F.col("bytes")) / math.log(self.fanout)))
         return (
             written.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
             .agg(F.count("*").alias("rows"), F.min("doc_id").cast("long").alias("first_id"), F.max("doc_id").cast("long").alias("last_id"))
-            .select("path", tier.cast("int").alias("tier"), "rows", "bytes", "first_id", "last_id", F.lit(version).cast("long").alias("added"))
+            .select("path", self._tier().alias("tier"), "rows", "bytes", "first_id", "last_id", F.lit(version).cast("long").alias("added"))
         )
 
     # -------------------------------------------------------------- writing
 
     def append(self, rows: DataFrame) -> int:
-        """Add the rows as small shards, one per partition; returns the version."""
-        version = (self.versions() or [0])[-1] + 1
+        """Add the rows as small shards, one per partition; returns the version.
+
+        If another writer commits first, the shards are committed on top of its version.
+        """
         folder = f"{self.root}/data/{uuid.uuid4().hex}"
         rows.write.option("compression", "zstd").parquet(folder)
-        return self._commit(self.manifest().unionByName(self._shards_in(folder, version)), version)
+        while True:
+            current = self.versions()
+            version = current[-1] + 1 if current else 1
+            live = self.manifest(current[-1]) if current else self.spark.createDataFrame([], MANIFEST)
+            try:
+                return self._commit(live.unionByName(self._shards_in(folder, version)), version)
+            except CommitConflictError:
+                continue
 
     def _plan(self, manifest: DataFrame) -> DataFrame:
-        """(lane, run, path) of the shards to merge: neighbours in size, up to the target.
+        """(lane, run, path) of the shards to merge: runs within a tier, up to the target.
 
-        A shard of half the target is done. A run is due with ``fanout`` shards or
-        half the target, if it is at least twice its largest shard: so a merge
-        doubles every shard in it, and no row is written more often than the
-        target can be halved. A shard larger than all smaller ones of its run is
-        left out, and the smaller ones are merged without it.
+        A shard of half the target is done. A run is due with ``fanout`` shards, whose
+        merge is of a lower tier, or with half the target. So a row is written at most
+        once per tier, and a tier keeps fewer than ``fanout`` shards beside its full runs.
         """
         small = manifest.where(F.col("bytes") * 2 < self.target_bytes)
         lanes = max(1, -(-small.count() // WAVE_SHARDS))
-        small = small.withColumn("lane", F.pmod(F.xxhash64("path"), F.lit(lanes)))
-        order = Window.partitionBy("lane").orderBy("bytes", "first_id", "path")
+        small = small.withColumns({"lane": F.pmod(F.xxhash64("path"), F.lit(lanes)), "tier": self._tier()})
+        order = Window.partitionBy("lane", "tier").orderBy("bytes", "first_id", "path")
         cut = small.withColumn("cut", F.floor((F.sum("bytes").over(order) - F.col("bytes")) / self.target_bytes))
-        upward = Window.partitionBy("lane", "cut").orderBy("bytes", "first_id", "path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        sums = cut.withColumns({"place": F.count("*").over(upward), "upto": F.sum("bytes").over(upward)})
-        due = (F.col("place") >= self.fanout) | ((F.col("place") > 1) & (F.col("upto") * 2 >= self.target_bytes))
-        last = F.max(F.when(due & (F.col("upto") >= F.col("bytes") * 2), F.col("place"))).over(Window.partitionBy("lane", "cut"))
-        runs = sums.withColumn("last", last).where(F.col("place") <= F.col("last"))
-        return runs.select("lane", (F.dense_rank().over(Window.partitionBy("lane").orderBy("cut")) - 1).alias("run"), "path")
+        whole = Window.partitionBy("lane", "tier", "cut")
+        due = (F.count("*").over(whole) >= self.fanout) | ((F.count("*").over(whole) > 1) & (F.sum("bytes").over(whole) * 2 >= self.target_bytes))
+        runs = cut.withColumn("due", due).where("due")
+        return runs.select("lane", (F.dense_rank().over(Window.partitionBy("lane").orderBy("tier", "cut")) - 1).alias("run"), "path")
 
     def compact(self) -> int | None:
-        """One round of merges; returns the new version, or None if none was due."""
+        """One round of merges; returns the new version, or None if none was due.
+
+        If another writer commits first, the merged files are deleted and
+        CommitConflictError is raised; the round can be run again.
+        """
         current = self.versions()
         if not current:
             return None
@@ -132,23 +158,27 @@ class ShardStore:
         due = [r["lane"] for r in plan.select("lane").distinct().toLocalIterator()]
         if not due:
             return None
-        version, added = current[-1] + 1, []
+        version, added, folders = current[-1] + 1, [], []
         for lane in due:  # a lane holds about WAVE_SHARDS shards
             wave = plan.where(F.col("lane") == lane)
             paths = [r["path"] for r in wave.select("path").orderBy("path").toLocalIterator()]
             runs = wave.agg(F.max("run")).first()[0] + 1
             shards = self._rows_in(paths)
             columns = shards.columns
-            keyed = shards.withColumn("__path", F.col("_metadata.file_path")).join(
-                F.broadcast(wave.select(F.col("path").alias("__path"), F.col("run").alias("__run"))), "__path"
-            )
-            folder = f"{self.root}/data/{uuid.uuid4().hex}"
-            keyed.select(*columns, "__run").repartition(4 * runs, "__run").write.partitionBy("__run").option("compression", "zstd").parquet(folder)
-            added.append(self._shards_in(folder, version))
+            of_path, of_run = free_name("path", columns), free_name("run", columns)
+            keyed = shards.withColumn(of_path, F.col("_metadata.file_path")).join(F.broadcast(wave.select(F.col("path").alias(of_path), F.col("run").alias(of_run))), of_path)
+            folders.append(f"{self.root}/data/{uuid.uuid4().hex}")
+            keyed.select(*(keyed[f"`{c}`"] for c in columns), of_run).repartition(4 * runs, of_run).write.partitionBy(of_run).option("compression", "zstd").parquet(folders[-1])
+            added.append(self._shards_in(folders[-1], version))
         merged = live.join(plan.select("path"), "path", "left_anti").select(*live.columns)
         for shards in added:
             merged = merged.unionByName(shards)
-        return self._commit(merged, version)
+        try:
+            return self._commit(merged, version)
+        except CommitConflictError:
+            for folder in folders:
+                self._remove(folder)
+            raise
 
     def compact_all(self) -> int:
         """Rounds of merges until none is due; returns the newest version."""
@@ -175,20 +205,28 @@ class ShardStore:
     # -------------------------------------------------------------- reading
 
     def read(self, version: int | None = None) -> DataFrame:
-        """All rows of a version, with the number, tier and size of their shard."""
+        """All rows of a version, with shard, tier, shard_rows and shard_bytes of their shard.
+
+        Where a stored column has one of these names, underscores are added to the new one.
+        """
         shards = self.manifest(version).withColumn("lane", F.lit(0))
         order = Window.partitionBy("lane").orderBy("tier", "first_id", "rows", "path")
-        numbered = shards.select("path", F.row_number().over(order).alias("shard"), "tier", F.col("rows").alias("shard_rows"), F.col("bytes").alias("shard_bytes"))
-        own = F.col("_metadata.file_path").alias("shard_path")
-        parts, batch = [], []
+        numbered = shards.select(F.col("path").alias("of_path"), F.row_number().over(order).alias("shard"), "tier", F.col("rows").alias("shard_rows"), F.col("bytes").alias("shard_bytes"))
+        batches: list[list[str]] = [[]]
         for row in shards.select("path").orderBy("path").toLocalIterator():
-            batch.append(row["path"])
-            if len(batch) == WAVE_SHARDS:
-                parts.append(self._rows_in(batch).select("*", own))
-                batch = []
-        if batch or not parts:  # without shards, the columns of what was appended
-            parts.append(self._rows_in(batch).select("*", own) if batch else self._rows_in([f"{self.root}/data/*"]).select("*", own).where("false"))
+            if len(batches[-1]) == WAVE_SHARDS:
+                batches.append([])
+            batches[-1].append(row["path"])
+        # without shards, the columns of what was appended
+        found = [self._rows_in(b) if b else self._rows_in([f"{self.root}/data/*"]).where("false") for b in batches]
+        names = list(dict.fromkeys(c for part in found for c in part.columns))
+        own_path = free_name("of_path", names)
+        parts = [part.select(*(part[f"`{c}`"] for c in part.columns), F.col("_metadata.file_path").alias(own_path)) for part in found]
         rows = parts[0]
         for part in parts[1:]:
             rows = rows.unionByName(part, allowMissingColumns=True)
-        return rows.join(numbered.withColumnRenamed("path", "shard_path"), "shard_path").drop("shard_path")
+        own, coding = coded(rows)
+        of_path = coding.pop(own_path)
+        info = ["shard", "tier", "shard_rows", "shard_bytes"]
+        joined = own.join(numbered.withColumnRenamed("of_path", of_path), of_path)
+        return joined.select(*(F.col(c).alias(name) for name, c in coding.items()), *(F.col(c).alias(free_name(c, list(coding))) for c in info))

@@ -1,5 +1,7 @@
 """Training-data operators on small rows: nulls, empty and long texts, ties, repeated rows, extra columns."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -116,29 +118,41 @@ def test_leaks_with_edits(spark, docs, none):
     assert decontaminate.find_leaks(none, bench).count() == 0
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
     hit = decontaminate.find_leaks(docs, bench).collect()
-    assert len(hit) == 5
+    assert [r["item_id"] for r in hit].count(1) == 5
+    assert len(hit) == 10  # the item without an id is an item too
     assert {r["doc_id"] for r in hit} == {1, 2, 3, None}
     assert sorted(r["doc_id"] for r in decontaminate.drop_leaks(docs, bench).collect()) == [4, 5, 6, 7, 8, 9]
 
 
-def test_lsh_recall_at_the_threshold():
-    """Share of items found after 10 % and 18 % of their words were changed at random."""
+@pytest.mark.parametrize("kind", ["replace", "insert", "delete"])
+def test_lsh_recall_at_the_threshold(kind):
+    """Share of items found after so many of their words were replaced, deleted, or others inserted at random."""
     rng = np.random.default_rng(0)
-    items = [(i, rng.integers(1, 1 << 62, int(rng.integers(15, 60)), dtype=np.uint64) | np.uint64(1)) for i in range(150)]
-    index = decontaminate.build_index(items, 3, 4, 3, 5)
-    for rate, least in ((0.0, 1.0), (0.1, 0.97), (0.18, 0.9)):
+    draw = lambda n: rng.integers(1, 1 << 62, n, dtype=np.uint64) | np.uint64(1)
+    items = [(i, draw(int(rng.integers(13, 60)))) for i in range(200)]
+    index = decontaminate.build_index(items, 4, 5, 3, 5)
+    for rate, least in ((0.0, 1.0), (0.05, 0.99), (0.1, 0.98), (0.15, 0.95), (0.2, 0.9)):
         texts, first = [], [0]
         for _, words in items:
-            copy = words.copy()
-            spots = rng.choice(len(words), int(rate * len(words)), replace=False)
-            copy[spots] = rng.integers(1, 1 << 62, len(spots), dtype=np.uint64) | np.uint64(1)
-            texts += [rng.integers(1, 1 << 62, 50, dtype=np.uint64) | np.uint64(1), copy]
+            copy = words.tolist()
+            for _ in range(int(rate * len(words))):
+                at = int(rng.integers(len(copy)))
+                copy[at : at + (kind != "insert")] = [] if kind == "delete" else draw(1).tolist()
+            texts += [draw(50), np.array(copy, np.uint64)]
             first.append(first[-1] + 50 + len(copy))
-        found = decontaminate.search(index, np.concatenate(texts), np.array(first), 0.2)
+        found = decontaminate.search(index, np.concatenate(texts), np.array(first), 0.2 + 1e-9)
         assert sum((k, k) in found for k in range(len(items))) / len(items) >= least
         assert all(a == b for a, b in found)
 
 
+def test_leaks_fold_case_and_punctuation_of_any_script(spark):
+    item = "Вот пример строки из нашего набора и ещё слова для проверки того как ищет поиск"
+    texts = [(1, item.upper()), (2, item.replace(" ", "—")), (3, "«" + item.replace(" ", " … ") + "»"), (4, "совсем другой текст")]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = decontaminate.find_leaks(spark.createDataFrame(texts, "doc_id long, text string"), bench).collect()
+    assert sorted((r["doc_id"], r["edit_distance"]) for r in found) == [(1, 0), (2, 0), (3, 0)]
+
+
 def test_exact_copies_of_every_length_are_found():
     rng = np.random.default_rng(3)
     draw = lambda n: rng.integers(1, 1 << 62, n, dtype=np.uint64) | np.uint64(1)
@@ -328,7 +342,64 @@ def test_small_shards_merge_beside_a_large_one(spark):
     assert sorted(r["path"] for r in planned([60_000_000] + [1_000_000] * 59)) == sorted(f"p{i}" for i in range(1, 60))
     assert len(planned([60_000_000] + [10_000] * 3000)) == 3000
     assert planned([1, 2, 4, 8, 16, 32]) == []
-    assert len(planned([1, 2, 4, 8, 16, 32, 32])) == 7
+    assert planned([1, 2, 4, 8, 16, 32, 32]) == []  # no tier holds four
+
+
+def test_plan_is_that_of_brute_force(spark):
+    """Runs within a tier, cut at the target; due with fanout shards or half the target."""
+    target, fanout = 1_000_000, 4
+    store = sharding.ShardStore(spark, scratch_path(spark, "s"), target_bytes=target, fanout=fanout)
+    rng = np.random.default_rng(4)
+    sizes = [int(x) for x in 10 ** rng.uniform(2, 6.2, 120)] + [249_000] * 9 + [400_000] * 3
+    tiers, want = {}, set()
+    for i, n in enumerate(sizes):
+        tier = max(0, math.ceil(math.log(target / n) / math.log(fanout)))
+        if 2 * n < target:
+            tiers.setdefault(tier, []).append((n, i))
+    for own in tiers.values():
+        cuts, before = {}, 0
+        for n, i in sorted(own):
+            cuts.setdefault(before // target, []).append((n, i))
+            before += n
+        for run in cuts.values():
+            if len(run) >= fanout or (len(run) > 1 and 2 * sum(n for n, _ in run) >= target):
+                want.add(frozenset(f"p{i}" for _, i in run))
+    plan = store._plan(spark.createDataFrame([(f"p{i}", 0, 1, n, i, i, 1) for i, n in enumerate(sizes)], sharding.MANIFEST)).collect()
+    got = {}
+    for r in plan:
+        got.setdefault((r["lane"], r["run"]), set()).add(r["path"])
+    assert {frozenset(x) for x in got.values()} == want
+
+
+def test_store_with_columns_of_its_own_names(spark):
+    names = ["doc_id", "path", "shard", "tier", "run", "of_path", "shard_path", "bytes", "_0"]
+    store = sharding.ShardStore(spark, scratch_path(spark, "s"), target_bytes=60_000, fanout=2)
+    for k in range(3):
+        store.append(spark.createDataFrame([tuple(10 * k + i for i in range(len(names)))], ", ".join(f"{n} long" for n in names)).coalesce(1))
+    store.compact_all()
+    assert store.manifest().count() == 1
+    found = store.read()
+    assert found.columns == [*names, "shard_", "tier_", "shard_rows", "shard_bytes"]
+    assert sorted(r["shard"] for r in found.collect()) == [2, 12, 22]
+
+
+def test_a_lost_race_leaves_nothing(spark, docs, monkeypatch):
+    store = sharding.ShardStore(spark, scratch_path(spark, "s"), target_bytes=60_000, fanout=2)
+    other = sharding.ShardStore(spark, store.root, target_bytes=60_000, fanout=2)
+    for _ in range(3):
+        store.append(docs.coalesce(1))
+    known = store.versions
+    folders = lambda kind: {s.getPath().getName() for s in store._context.util().listStatus(store._fs.Path(f"{store.root}/{kind}"))}
+    held = folders("data")
+    monkeypatch.setattr(store, "versions", lambda: known()[:-1])  # what the writer saw before another one committed
+    with pytest.raises(sharding.CommitConflictError):
+        store.compact()
+    assert folders("data") == held
+    assert folders("staged") == set()
+    seen = iter([known()[:-1]])
+    monkeypatch.setattr(store, "versions", lambda: next(seen, None) or known())
+    store.append(docs.coalesce(1))  # comes second, and is committed on top
+    assert other.read().count() == 4 * len(ROWS)
 
 
 def test_small_arrivals_after_a_large_one(spark):
