@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import WHITESPACE_CLASS, let, words_of
+from tagloom.llm.common import WHITESPACE_CLASS, coded, decoded, let, words_of
 
 # Frequent function words of the languages a corpus may hold.
 STOP_WORDS = (
@@ -36,7 +36,7 @@ RULES = (
     Rule("symbols", "n_symbols", "n_words", None, 10),
     Rule("stop_words", "n_stop_words", "n_words", 1, None),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", None, 50),
-    Rule("line_length", "n_words", "n_lines", 100, None),
+    Rule("line_length", "n_words", "n_lines", 200, None),
 )
 
 
@@ -99,8 +99,8 @@ def with_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: in
     ``base_failed`` (fewer than ``min_words`` words, or more than
     ``max_repeat_percent`` % of them repeated) and ``kept``.
 
-    Defined cases: a null or empty text has no words and fails the base; rows
-    are judged one by one, so repeated rows get the same verdict; other columns
+    Defined cases: a null or empty text has no words and fails the base; a very
+    long text is measured whole; a text just at a threshold passes; rows are judged one by one, so repeated rows get the same verdict; other columns
     pass through (an existing ``quality`` column is replaced); an empty table
     gives an empty result.
     """
@@ -119,10 +119,13 @@ def with_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, min_words: in
 
 
 def keep_quality(docs: DataFrame, **options) -> DataFrame:
-    """The rows whose text passes, with the columns of ``docs``.
+    """The rows whose text passes, with the columns of ``docs``, whatever their names.
+
+    Defined cases: those of :func:`with_quality`; so null and empty texts go.
 
     Rows are unnested from an array that is null where the text fails: a filter
     would be moved below the counts and evaluate them once per rule.
     """
-    judged = with_quality(docs.withColumn("__row", F.struct(*docs.columns)), **options)
-    return judged.select(F.inline(F.when(F.col("quality.kept"), F.array("__row"))))
+    own, names = coded(docs)
+    judged = with_quality(own.select(F.col(names["text"]).alias("text"), F.struct(*own.columns).alias("row")), **options)
+    return decoded(judged.select(F.inline(F.when(F.col("quality.kept"), F.array("row")))), names)

@@ -149,7 +149,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT (base_failed OR 100 * word_chars < 150 * n_words OR 100 * word_chars > 2000 * n_words
                     OR 100 * n_symbols > 10 * n_words OR 100 * n_stop < n_words OR 100 * n_dup_lines > 50 * n_lines
-                    OR 100 * n_words < 100 * n_lines) AS kept
+                    OR 100 * n_words < 200 * n_lines) AS kept
         FROM b
     """.replace("{stop}", str(sorted(set(STOP_WORDS)))),
     "op5_ngram_jaccard_join": r"""
