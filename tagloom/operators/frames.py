@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.sources.scratch import written
+
 #: Tables of at most so many rows are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -64,7 +69,8 @@ def inverse_frequency(tf: DataFrame, items: DataFrame | None = None) -> DataFram
     of = tf if items is None else items
     sizes = of.select("channel", "item").distinct().groupBy("channel").agg(F.count("*").alias("n"))
     df = tf.groupBy("channel", "tag").agg(F.count("*").alias("df"))
-    return df.join(small(sizes), "channel").select("channel", "tag", F.log((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
+    # a catalogue has a handful of channels, so the table of their sizes is small by construction
+    return df.join(F.broadcast(sizes), "channel").select("channel", "tag", F.log((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
 
 
 def sum_merge(rows: DataFrame, keys: Sequence[str], value: str = "weight", digits: int = 9) -> DataFrame:
@@ -172,12 +178,79 @@ def shared_tag_pairs(rows: DataFrame, limit: int) -> DataFrame:
     return pairs.groupBy("item", "other").agg(F.round(F.sum(F.col("weight") * F.col("other_weight")), 9).alias("sim"), F.count("*").alias("shared"))
 
 
-def cosine_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(item, other, cosine) of (item, idx, val) and (other, idx, val) vectors that share a feature."""
-    norm = lambda rows, key, name: rows.groupBy(key).agg(F.sqrt(F.sum(F.col("val") * F.col("val"))).alias(name))
-    dots = left.join(right.withColumnRenamed("val", "other_val"), "idx").groupBy("item", "other").agg(F.sum(F.col("val") * F.col("other_val")).alias("dot"))
-    both = dots.join(norm(left, "item", "a"), "item").join(norm(right, "other", "b"), "other")
-    return both.select("item", "other", F.round(F.try_divide(F.col("dot"), F.col("a") * F.col("b")), 9).alias("cosine")).where("cosine is not null")
+def _vectors(rows: DataFrame, key: str, block: int) -> tuple[DataFrame, int]:
+    """(key, idx, val, block) with a row per vector, written to the shared folder, and the number of blocks."""
+    packed = rows.groupBy(key).agg(F.collect_list(F.struct("idx", "val")).alias("v")).select(key, F.col("v.idx").alias("idx"), F.col("v.val").alias("val"))
+    packed = written(packed, "vectors")
+    blocks = max(1, -(-packed.count() // block))
+    return packed.withColumn(f"{key}_block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")), blocks
+
+
+def _block_cosines(left: pa.Table, right: pa.Table, key: str, other: str, count: int | None, least: float | None, same: bool, chunk: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in ``left``, place in ``right``, cosine) of the pairs of two blocks that share a feature."""
+    sides = []
+    for table in (left, right):
+        lists, values = table.column("idx").combine_chunks(), table.column("val").combine_chunks()
+        size = np.diff(lists.offsets.to_numpy())
+        sides.append((np.repeat(np.arange(len(size)), size), lists.flatten(), values.flatten().to_numpy(zero_copy_only=False), len(size)))
+    codes = pc.dictionary_encode(pa.concat_arrays([sides[0][1], sides[1][1]])).indices.to_numpy(zero_copy_only=False)
+    split = len(sides[0][0])
+    features = (codes[:split], codes[split:])
+    norm = [np.sqrt(np.bincount(row, value * value, n)) for row, _, value, n in sides]
+    shape = (sides[0][3], sides[1][3])
+    dot, shared = np.zeros(shape), np.zeros(shape, np.float32)
+    for begin in range(0, int(codes.max()) + 1 if len(codes) else 0, chunk):
+        dense = []
+        for (row, _, value, n), own in zip(sides, features, strict=True):
+            some = (own >= begin) & (own < begin + chunk)
+            full, flag = np.zeros((n, chunk)), np.zeros((n, chunk), np.float32)
+            np.add.at(full, (row[some], own[some] - begin), value[some])
+            flag[row[some], own[some] - begin] = 1
+            dense.append((full, flag))
+        dot += dense[0][0] @ dense[1][0].T
+        shared += dense[0][1] @ dense[1][1].T
+    scale = norm[0][:, None] * norm[1][None, :]
+    cosine = np.round(np.divide(dot, scale, out=np.full(shape, -np.inf), where=(scale > 0) & (shared > 0)), 9)
+    if not same:
+        cosine[left.column(key).to_numpy()[:, None] == right.column(other).to_numpy()[None, :]] = -np.inf
+    if least is not None:
+        cosine[cosine <= least] = -np.inf
+    if count is None or count >= shape[1]:
+        found = np.nonzero(cosine > -np.inf)
+        return *found, cosine[found]
+    best = np.argsort(-cosine, axis=1, kind="stable")[:, :count]  # ``right`` is in the order of ids, which settles ties
+    row = np.repeat(np.arange(shape[0]), count)
+    value = cosine[row, best.ravel()]
+    kept = value > -np.inf
+    return row[kept], best.ravel()[kept], value[kept]
+
+
+def cosine_pairs(left: DataFrame, right: DataFrame, count: int | None = None, min_cosine: float | None = None, same: bool = True, block: int = 2048) -> DataFrame:
+    """(item, other, cosine) of (item, idx, val) and (other, idx, val) vectors that share a feature.
+
+    With a ``count`` only an item's largest, ties to the smaller id; with ``min_cosine``
+    only those above it; unless ``same``, none with itself. Vectors are packed into rows
+    and dealt evenly to blocks by id, and each pair of blocks is one small matrix product
+    that returns at most ``count`` pairs an item: no row per pair and feature is made, and
+    a feature that all vectors have does not meet in one task. Vectors of length 0 have no
+    cosine. A job that packs and counts the vectors runs at once.
+    """
+    own, n_own = _vectors(left.select("item", "idx", "val"), "item", block)
+    others, n_others = _vectors(right.select("other", "idx", "val"), "other", block)
+    own = own.withColumn("other_block", F.explode(F.sequence(F.lit(0), F.lit(n_others - 1))))
+    others = others.withColumn("item_block", F.explode(F.sequence(F.lit(0), F.lit(n_own - 1))))
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        a, b = a.combine_chunks(), b.sort_by("other").combine_chunks()
+        if a.num_rows and b.num_rows:
+            at, to, cosine = _block_cosines(a, b, "item", "other", count, min_cosine, same)
+        else:
+            at, to, cosine = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return pa.table({"item": a.column("item").take(pa.array(at)), "other": b.column("other").take(pa.array(to)), "cosine": pa.array(cosine, pa.float64())})
+
+    kinds = {f.name: f.dataType.simpleString() for f in [*left.schema, *right.schema]}
+    pairs = own.groupBy("item_block", "other_block").cogroup(others.groupBy("item_block", "other_block")).applyInArrow(run, f"item {kinds['item']}, other {kinds['other']}, cosine double")
+    return pairs if count is None else top_k(pairs, ["item"], count, value="cosine", tie=("other",))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

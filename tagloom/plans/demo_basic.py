@@ -572,7 +572,7 @@ def t_arrtopk(spark, d):
 
 @query(COSINE + "SELECT item, other, round(cosine, 9) AS cosine FROM cos QUALIFY row_number() OVER (PARTITION BY item ORDER BY cosine DESC, other) = 1")
 def t_argmax(spark, d):
-    return _rounded(O.top_k(O.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d)), ["item"], 1, value="cosine", tie=("other",)), "cosine")
+    return _rounded(O.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d), count=1), "cosine")
 
 
 @query(COSINE + "SELECT item, other, round(cosine, 9) AS cosine FROM cos WHERE cosine > 0.1 QUALIFY row_number() OVER (PARTITION BY item ORDER BY cosine DESC, other) <= 11")

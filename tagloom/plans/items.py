@@ -69,19 +69,18 @@ def best_collection(items: DataFrame, collections: DataFrame) -> DataFrame:
 
     Items that share no feature with any collection have no row.
     """
-    return O.top_k(O.cosine_pairs(items, collections), ["item"], 1, value="cosine", tie=("other",))
+    return O.cosine_pairs(items, collections, count=1)
 
 
 def nearest_collections(item_vectors: DataFrame, members: DataFrame, min_cosine: float = 0.1, count: int = 11) -> DataFrame:
     """Collections as sums of their items' vectors; per item the nearest."""
     sums = members.join(item_vectors, "item").groupBy(F.col("collection").alias("other"), "idx").agg(F.round(F.sum("val"), 9).alias("val"))
-    return O.top_k(O.cosine_pairs(item_vectors, sums).where(F.col("cosine") > min_cosine), ["item"], count, value="cosine", tie=("other",))
+    return O.cosine_pairs(item_vectors, sums, count, min_cosine)
 
 
 def nearest_items(item_vectors: DataFrame, sample: DataFrame, min_cosine: float = 0.1, count: int = 11) -> DataFrame:
     """Per item the nearest of the sampled items (item, idx, val)."""
-    pairs = O.cosine_pairs(item_vectors, sample.withColumnRenamed("item", "other")).where("item <> other")
-    return O.top_k(pairs.where(F.col("cosine") > min_cosine), ["item"], count, value="cosine", tie=("other",))
+    return O.cosine_pairs(item_vectors, sample.withColumnRenamed("item", "other"), count, min_cosine, same=False)
 
 
 def item_meta_lines(items: DataFrame, pool: DataFrame, content: DataFrame, query: DataFrame, columns: dict[str, int], width: int) -> DataFrame:

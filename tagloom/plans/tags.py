@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import exprs as X
 from tagloom.operators import frames as O
+from tagloom.sources.scratch import written
 
 
 class Channel(NamedTuple):
@@ -51,9 +52,11 @@ def collection_rollup(item_tags: DataFrame, members: DataFrame, own: DataFrame |
 def tf_idf(tags: DataFrame, tf_mode: str = "linear") -> DataFrame:
     """(channel, item, tag, weight): tf * ln((N + 1) / (df + 1)) * channel weight.
 
-    ``tf_mode`` "per_occurrence" counts each occurrence with its tf, so tf squared.
+    ``tf_mode`` "per_occurrence" counts each occurrence with its tf, so tf squared. Texts
+    are split once: the counts are written to the shared folder, and document counts,
+    channel sizes and weights are made from them.
     """
-    tf = tags.groupBy("channel", "item", "tag").agg(F.count("*").alias("tf"), F.max("channel_weight").alias("channel_weight"))
+    tf = written(tags.groupBy("channel", "item", "tag").agg(F.count("*").alias("tf"), F.max("channel_weight").alias("channel_weight")), "tf")
     power = F.col("tf") if tf_mode == "linear" else F.col("tf") * F.col("tf")
     return tf.join(O.inverse_frequency(tf), ["channel", "tag"]).select("channel", "item", "tag", F.round(power * F.col("idf") * F.col("channel_weight"), 9).alias("weight"))
 
