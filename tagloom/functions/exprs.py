@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Suffixes and marks taken off a title, in this order.
+# Suffixes and marks taken off a title, in this order. Colon, hyphen and
+# backquote in the last one are three marks: as a range they would take off all capitals.
 TITLE_PATTERNS = (
     r".*(一|二|三|四|五|六|七|八|九)$",
     r"(第(一|二|三|四|五|六|七|八|九|十|\d)(集|季|部|期))|(season \d+)|(\d+)$",
@@ -17,7 +18,7 @@ TITLE_PATTERNS = (
     r"(枪版|高清|高清版|DVD版|蓝光|蓝光版)",
     r"(\s)",
     r"[——！，。·～？、~@#￥%……&*（）：；《）《》“”\(\)»〔〕\-「」]\+",
-    r"[<> _,()~\';\":-`!@#$%^&*+=\[\]{}>?/.\|\\\n\r\t]",
+    r"[<> _,()~\';\":\-`!@#$%^&*+=\[\]{}>?/.\|\\\n\r\t]",
 )
 
 STRINGS = "array<string>"
@@ -215,14 +216,19 @@ def decoded_json(payload: Column, field: str) -> Column:
     return F.get_json_object(F.try_to_binary(payload, F.lit("base64")).cast("string"), f"$.{field}")
 
 
+def text_hash(text: Column) -> Column:
+    """60 bits of the MD5 of a text as a long, the same in any engine; null for null."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def tag_id_hash(tag: Column) -> Column:
     """Surrogate id of a tag that the dictionary does not have."""
-    return F.xxhash64(tag)
+    return text_hash(tag)
 
 
 def feature_slot(value: Column, slots: int = 1 << 24) -> Column:
     """Slot of the hashing trick."""
-    return F.pmod(F.hash(value), F.lit(slots))
+    return F.pmod(text_hash(value.cast("string")), F.lit(slots))
 
 
 def page_url(item: Column, base: str = "https://example.com/page/") -> Column:

@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.functions import exprs as X
 from tagloom.sources.scratch import written
 
 #: Tables of at most so many rows are broadcast; larger ones are shuffled.
@@ -167,15 +168,16 @@ def list_profile(lengths: DataFrame, length: str = "length", buckets: int = 10)
 # ------------------------------------------------------------ pairs and cosine
 
 
-def shared_tag_pairs(rows: DataFrame, limit: int) -> DataFrame:
-    """(item, other, sim, shared) of items that share a tag within its ``limit`` heaviest.
+def shared_tag_pairs(rows: DataFrame, limit: int, with_tags: bool = False) -> DataFrame:
+    """(item, other, sim, shared[, tags]) of items that share a tag within its ``limit`` heaviest.
 
-    The limit is what bounds the pairs: at most ``limit`` squared per tag.
+    The limit is what bounds the pairs: at most ``limit`` squared per tag. ``tags`` are
+    the shared ones, sorted.
     """
     own = top_k(rows.select("tag", "item", "weight"), ["tag"], limit, tie=("item",))
     other = own.select("tag", F.col("item").alias("other"), F.col("weight").alias("other_weight"))
     pairs = own.join(other, "tag").where("item <> other")
-    return pairs.groupBy("item", "other").agg(F.round(F.sum(F.col("weight") * F.col("other_weight")), 9).alias("sim"), F.count("*").alias("shared"))
+    return pairs.groupBy("item", "other").agg(F.round(F.sum(F.col("weight") * F.col("other_weight")), 9).alias("sim"), F.count("*").alias("shared"), *([F.array_sort(F.collect_set("tag")).alias("tags")] if with_tags else []))
 
 
 def _vectors(rows: DataFrame, key: str, block: int) -> tuple[DataFrame, int]:
@@ -264,4 +266,4 @@ def clustered(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
 
 def hash_sample(rows: DataFrame, key: str, percent: int) -> DataFrame:
     """A sample that is the same on every run: by hash of the key."""
-    return rows.where(F.pmod(F.xxhash64(key), F.lit(100)) < percent)
+    return rows.where(F.pmod(X.text_hash(F.col(key).cast("string")), F.lit(100)) < percent)

@@ -53,10 +53,10 @@ def s_json(spark, d):
     return S.read_json(spark, path, "vid bigint", ["item"])
 
 
-@query("SELECT item FROM pool WHERE item % 10 = 0")
+@query("SELECT item FROM pool")
 def s_csv(spark, d):
     path = scratch_path(spark, "csv")
-    V.pool(spark, d).where("item % 10 = 0").write.option("header", True).csv(path)
+    V.pool(spark, d).write.option("header", True).csv(path)
     return S.read_csv(spark, path, "item bigint")
 
 
@@ -243,22 +243,27 @@ def p_normal(spark, d):
 LIFE = "CASE item % 3 WHEN 0 THEN 'P' WHEN 1 THEN 'S' ELSE 'N' END"
 
 
-@query(
-    f"""
-    , aged AS (SELECT item, {LIFE} AS life, p_size - 1 AS age, p_type, p_brand FROM parts)
-    SELECT item, life FROM aged WHERE life = 'P' OR (life = 'S' AND age <= 1) OR (life = 'N' AND age <= length(p_type) AND age <= 20 AND p_brand LIKE 'Brand#1%')
-    """
-)
-def p_freshclass(spark, d):
+FRESH = f"""
+    , aged AS (SELECT item, {LIFE} AS life, p_size - 1 AS age, p_type, p_brand FROM parts),
+    fresh AS (SELECT item, life FROM aged WHERE life = 'P' OR (life = 'S' AND age <= 1) OR (life = 'N' AND age <= length(p_type) AND age <= 20 AND p_brand LIKE 'Brand#1%'))
+"""
+
+
+def fresh_items(spark, d):
     p = V.parts(spark, d)
-    days = p.select(F.col("p_type").alias("key"), F.length("p_type").alias("days")).union(p.where("p_brand LIKE 'Brand#1%'").select("p_brand", F.lit(20))).distinct()
+    days = p.select(F.col("p_type").alias("key"), F.length("p_type").alias("days")).union(p.where("p_brand LIKE 'Brand#1%'").select(F.translate("p_brand", "#", "-"), F.lit(20))).distinct()
     life = F.when(F.col("item") % 3 == 0, "P").when(F.col("item") % 3 == 1, "S").otherwise("N")
-    rows = p.select("item", life.alias("lifetime"), F.col("p_brand").alias("first"), F.col("p_type").alias("second"), F.date_sub(F.lit("2024-01-31").cast("date"), F.col("p_size") - 1).alias("published"))
+    rows = p.select("item", life.alias("lifetime"), F.concat(F.translate("p_brand", "#", "-"), F.lit("#more")).alias("first"), F.col("p_type").alias("second"), F.date_sub(F.lit("2024-01-31").cast("date"), F.col("p_size") - 1).alias("published"))
     from tagloom.plans.items import fresh_in_class
 
     return fresh_in_class(rows, days, F.lit("2024-01-31").cast("date"), ("P", "S", "N")).select("item", F.col("lifetime").alias("life"))
 
 
+@query(FRESH + "SELECT item, life FROM fresh")
+def p_freshclass(spark, d):
+    return fresh_items(spark, d)
+
+
 def eligible_columns():
     return {
         "item": F.col("item").cast("string"), "first": F.col("p_brand"), "second": F.col("p_type"), "state": F.when(F.col("p_size") > 2, "4").otherwise("0"), "drm": F.when(F.col("item") % 11 == 0, "1").otherwise("0"),
@@ -413,7 +418,7 @@ def j_expandid(spark, d):
 
 PAIRS = """
     , own AS (SELECT * FROM posted QUALIFY row_number() OVER (PARTITION BY tag ORDER BY weight DESC, item) <= 20),
-    pairs AS (SELECT a.item, b.item AS other, round(sum(a.weight * b.weight), 9) AS sim, count(*) AS shared FROM own a JOIN own b USING (tag) WHERE a.item <> b.item GROUP BY 1, 2)
+    pairs AS (SELECT a.item, b.item AS other, round(sum(a.weight * b.weight), 9) AS sim, count(*) AS shared, string_agg(tag, '#' ORDER BY tag) AS tags FROM own a JOIN own b USING (tag) WHERE a.item <> b.item GROUP BY 1, 2)
 """
 
 
@@ -596,9 +601,9 @@ def t_limit(spark, d):
     return V.parts(spark, d).select("item", "p_retailprice").orderBy(F.desc("p_retailprice"), "item").limit(100)
 
 
-@query()
+@query("SELECT item, tag, round(weight, 9) AS weight FROM merged WHERE ('0x' || substr(md5(item::VARCHAR), 1, 15))::BIGINT % 100 < 10")
 def t_sample(spark, d):
-    return O.hash_sample(V.merged(spark, d), "item", 10)
+    return _rounded(O.hash_sample(V.merged(spark, d), "item", 10))
 
 
 # ------------------------------------------------------------------------ sets

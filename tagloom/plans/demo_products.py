@@ -11,7 +11,7 @@ from tagloom.plans import reports as R
 from tagloom.plans import tags as T
 from tagloom.plans import users as U
 from tagloom.plans import views as V
-from tagloom.plans.demo_basic import COSINE, DAYTAGS, ELIGIBLE, HIST, PAIRS, _rounded, collection_vectors, eligible_columns, item_vectors
+from tagloom.plans.demo_basic import COSINE, DAYTAGS, ELIGIBLE, FRESH, HIST, PAIRS, _rounded, collection_vectors, eligible_columns, fresh_items, item_vectors
 from tagloom.plans.registry import query
 from tagloom.sources import payloads as K
 from tagloom.sources import readers as S
@@ -94,7 +94,7 @@ def m_invert(spark, d):
 @query(
     """
     , t AS (SELECT trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title FROM pages),
-    c AS (SELECT regexp_replace(regexp_replace(regexp_replace(title, '(season \\d+)|(\\d+)$', '', 'g'), '\\s', '', 'g'), '[<> _,()~'';":-`!@#$%^&*+=\\[\\]{}>?/.|\\\\]', '', 'g') AS word FROM t)
+    c AS (SELECT regexp_replace(regexp_replace(regexp_replace(title, '(season \\d+)|(\\d+)$', '', 'g'), '\\s', '', 'g'), '[<> _,()~'';":\-`!@#$%^&*+=\\[\\]{}>?/.|\\\\]', '', 'g') AS word FROM t)
     SELECT DISTINCT word FROM (SELECT lower(trim(word)) AS word FROM c UNION ALL SELECT lower(tag) FROM ch) WHERE length(word) > 1
     """
 )
@@ -177,15 +177,16 @@ def m_control(spark, d):
 # ------------------------------------------------------------------ item lists
 
 
-@query(f"SELECT DISTINCT item FROM parts WHERE {ELIGIBLE} AND item IN (SELECT item FROM month GROUP BY item HAVING count(*) >= 1)")
+@query(f"{FRESH} SELECT DISTINCT item FROM parts WHERE {ELIGIBLE} AND item IN (SELECT item FROM fresh) AND item IN (SELECT item FROM month GROUP BY item HAVING count(*) >= 1)")
 def m_pool(spark, d):
     counts = V.month(spark, d).groupBy("item", "day").agg(F.count("*").alias("n"))
-    return I.item_pool(V.parts(spark, d), X.is_eligible(eligible_columns(), rejected="rejected"), counts, 1)
+    return I.item_pool(V.parts(spark, d), X.is_eligible(eligible_columns(), rejected="rejected"), counts, 1, fresh_items(spark, d))
 
 
-@query(PAIRS + "SELECT item, other, round(sim, 9) AS sim, shared FROM pairs QUALIFY row_number() OVER (PARTITION BY item ORDER BY sim DESC, other) <= 10")
+@query(PAIRS + "SELECT item, other, round(sim, 9) AS sim, shared, tags FROM pairs QUALIFY row_number() OVER (PARTITION BY item ORDER BY sim DESC, other) <= 10")
 def m_itemsim(spark, d):
-    return _rounded(I.similar_items(V.merged(spark, d), V.pool(spark, d), 20, 10), "sim")
+    near = I.similar_items(V.merged(spark, d), V.pool(spark, d), 20, 10, with_tags=True)
+    return _rounded(near.withColumn("tags", F.array_join("tags", "#")), "sim")
 
 
 @query(
@@ -343,6 +344,17 @@ def m_usercoll(spark, d):
     return _rounded(U.user_collections(V.month(spark, d), V.episode_weights(spark, d)))
 
 
+@query(
+    """
+    , uce AS (SELECT "user", collection, round(sum(percent * epw.weight * CASE WHEN s <= 0 THEN 1.0 ELSE least(1.0, pow(s, -0.35)) END), 9) AS weight
+              FROM (SELECT month.*, (epoch(as_of::TIMESTAMP) - epoch(ts::TIMESTAMP)) / 86400.0 AS s FROM month, today) JOIN epw USING (item) WHERE percent > 0.1 GROUP BY 1, 2)
+    SELECT "user", collection, round(weight, 9) AS weight FROM uce QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY weight DESC, collection) <= 100
+    """
+)
+def m_usercoll_events(spark, d):
+    return _rounded(U.user_collections_by_event(V.month(spark, d), V.episode_weights(spark, d), F.col("as_of")))
+
+
 UCM = UC + """, ucm AS (
     SELECT "user", collection, weight FROM (
         SELECT "user", collection, round(sum(weight * CASE WHEN age <= 0 THEN 1.0 ELSE least(1.0, pow(age, -0.35)) END), 9) AS weight
@@ -432,9 +444,9 @@ def m_reportrank_histogram(spark, d):
     return R.tags_per_item_histogram(tagged)
 
 
-@query("SELECT item, 'https://example.com/page/' || item || '.html' AS url, string_agg(tag || '###' || printf('%.4f', weight), ';' ORDER BY weight DESC, tag) AS tags FROM merged WHERE item % 10 = 0 GROUP BY item")
+@query("SELECT item, 'https://example.com/page/' || item || '.html' AS url, string_agg(tag || '###' || printf('%.4f', weight), ';' ORDER BY weight DESC, tag) AS tags FROM merged WHERE item IN (SELECT item FROM pool) GROUP BY item")
 def m_reportitem(spark, d):
-    return R.wanted_items(V.parts(spark, d).where("item % 10 = 0").select("item"), V.merged(spark, d))
+    return R.wanted_items(V.pool(spark, d), V.merged(spark, d))
 
 
 @query("SELECT tag, item, title, round(weight, 9) AS weight FROM (SELECT * FROM merged WHERE tag LIKE 'Brand%' QUALIFY row_number() OVER (PARTITION BY tag ORDER BY weight DESC, item) <= 49) JOIN titles USING (item)")

@@ -119,12 +119,12 @@ def f_zipmap(spark, d):
     return V.parts(spark, d).select("item", F.explode(pairs).alias("v")).select("item", "v.*")
 
 
-@query()
+@query("SELECT DISTINCT tag, ('0x' || substr(md5(tag), 1, 15))::BIGINT AS tag_id FROM ch")
 def f_hashid(spark, d):
     return V.channels(spark, d).select("tag").distinct().withColumn("tag_id", X.tag_id_hash(F.col("tag")))
 
 
-@query()
+@query("SELECT DISTINCT tag, ('0x' || substr(md5(tag), 1, 15))::BIGINT % 16777216 AS slot FROM ch")
 def f_hash(spark, d):
     return V.channels(spark, d).select("tag").distinct().withColumn("slot", X.feature_slot(F.col("tag")))
 

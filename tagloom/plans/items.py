@@ -18,8 +18,12 @@ def click_rates(log: DataFrame, click_min: int = 100, exposure_min: int = 100, z
     return O.ratio_of_sums(typed, ["item", "zone"], "click", "exposure", click_min, exposure_min)
 
 
-def item_pool(catalogue: DataFrame, eligible: Column, play_counts: DataFrame, min_plays: int) -> DataFrame:
-    """(item) of eligible items with at least ``min_plays`` plays in the counts."""
+def item_pool(catalogue: DataFrame, eligible: Column, play_counts: DataFrame, min_plays: int, fresh: DataFrame | None = None) -> DataFrame:
+    """(item) of eligible items with at least ``min_plays`` plays in the counts.
+
+    ``fresh`` holds the items that the lifetime rule allows (see :func:`fresh_in_class`).
+    """
+    catalogue = catalogue if fresh is None else O.restrict(catalogue, fresh, "item")
     played = play_counts.groupBy("item").agg(F.sum("n").alias("n")).where(F.col("n") >= min_plays)
     return O.restrict(catalogue.where(eligible).select("item").distinct(), played, "item")
 
@@ -27,19 +31,21 @@ def item_pool(catalogue: DataFrame, eligible: Column, play_counts: DataFrame, mi
 def fresh_in_class(catalogue: DataFrame, valid_days: DataFrame, as_of: Column, codes: tuple[str, str, str]) -> DataFrame:
     """Items whose lifetime class and categories still allow them at ``as_of``.
 
-    ``valid_days`` (key, days) is the configuration; both category levels look it up.
+    ``valid_days`` (key, days) is the configuration, a few rows; both category levels
+    look up what stands before their first ``#``.
     """
-    days = O.small(valid_days)
-    first = days.select(F.col("key").alias("first"), F.col("days").alias("first_days"))
-    second = days.select(F.col("key").alias("second"), F.col("days").alias("second_days"))
-    joined = catalogue.join(first, "first", "left").join(second, "second", "left")
+    days = F.broadcast(valid_days)
+    catalogue = catalogue.withColumns({"first_key": F.substring_index("first", "#", 1), "second_key": F.substring_index("second", "#", 1)})
+    first = days.select(F.col("key").alias("first_key"), F.col("days").alias("first_days"))
+    second = days.select(F.col("key").alias("second_key"), F.col("days").alias("second_days"))
+    joined = catalogue.join(first, "first_key", "left").join(second, "second_key", "left")
     age = F.datediff(as_of, F.col("published"))
-    return joined.where(X.is_fresh_class(F.col("lifetime"), age, F.col("first_days"), F.col("second_days"), codes)).drop("first_days", "second_days")
+    return joined.where(X.is_fresh_class(F.col("lifetime"), age, F.col("first_days"), F.col("second_days"), codes)).drop("first_days", "second_days", "first_key", "second_key")
 
 
-def similar_items(item_tags: DataFrame, pool: DataFrame, postings_limit: int = 100, count: int = 40) -> DataFrame:
-    """(item, other, sim, shared): most similar items through shared tags."""
-    pairs = O.shared_tag_pairs(O.restrict(item_tags, pool, "item"), postings_limit)
+def similar_items(item_tags: DataFrame, pool: DataFrame, postings_limit: int = 100, count: int = 40, with_tags: bool = False) -> DataFrame:
+    """(item, other, sim, shared[, tags]): most similar items through shared tags."""
+    pairs = O.shared_tag_pairs(O.restrict(item_tags, pool, "item"), postings_limit, with_tags)
     return O.top_k(pairs, ["item"], count, value="sim", tie=("other",))
 
 

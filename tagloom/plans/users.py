@@ -84,6 +84,14 @@ def user_collections(plays: DataFrame, weights: DataFrame, min_percent: float =
     return O.top_k(merged, ["day", "user"], count, tie=("collection",))
 
 
+def user_collections_by_event(plays: DataFrame, weights: DataFrame, now: Column, min_percent: float = 0.1, count: int = 100) -> DataFrame:
+    """(user, collection, weight): episode weight times percent, decayed by the time since each play, added up."""
+    rows = plays.where(F.col("percent") > min_percent).join(weights.select("item", "collection", F.col("weight").alias("own")), "item")
+    age = (F.unix_timestamp(now.cast("timestamp")) - F.unix_timestamp(F.col("ts").cast("timestamp"))) / 86_400
+    merged = O.sum_merge(rows.withColumn("weight", F.col("percent") * F.col("own") * X.decay(age)), ["user", "collection"])
+    return O.top_k(merged, ["user"], count, tie=("collection",))
+
+
 def item_categories(catalogue: DataFrame) -> DataFrame:
     """(item, first, second) of items with one category on either level."""
     return catalogue.where(X.is_single(F.col("first")) & X.is_single(F.col("second"))).select("item", "first", "second")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,14 +38,32 @@ def latest_partition(table: DataFrame, key: str) -> DataFrame:
     return table.join(F.broadcast(newest), F.col(key) == F.col("__newest")).drop("__newest")
 
 
+def _complete(fs, path, nested: int = 8) -> bool:
+    """Whether a folder or one in it has a ``_SUCCESS`` file, or a ``.check`` file that gives the number of the other entries."""
+    entries = list(fs.listStatus(path))
+    for entry in entries:
+        name = entry.getPath().getName()
+        if entry.isDirectory():
+            if nested and _complete(fs, entry.getPath(), nested - 1):
+                return True
+        elif "_SUCCESS" in name:
+            return True
+        elif ".check" in name:
+            with contextlib.closing(fs.open(entry.getPath())) as stream:
+                text = bytes(stream.readNBytes(32)).decode("ascii", "replace").split("\n")[0].strip()
+            if text.isdigit() and int(text) == len(entries) - 1:
+                return True
+    return False
+
+
 def latest_complete_path(spark: SparkSession, path: str, newest: int = 5) -> str | None:
-    """The newest of the last numeric sub-folders that hold a ``_SUCCESS`` file."""
+    """The newest of the last numeric sub-folders that are complete: a ``_SUCCESS`` file, or a ``.check`` file with the right count."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = sorted((s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory() and s.getPath().getName().isdigit()), key=int, reverse=True)
     for name in names[:newest]:
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS")):
+        if _complete(fs, jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")):
             return f"{path}/{name}"
     return None
 

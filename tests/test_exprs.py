@@ -37,7 +37,7 @@ def test_series_name(spark, title, name):
     assert one(spark, X.series_name(text(title))) == name
 
 
-@pytest.mark.parametrize(("title", "clean"), [("名侦探第二季", "名侦探"), ("show season 2", "show"), ("节目 高清", "节目"), ("a b.c!", "abc")])
+@pytest.mark.parametrize(("title", "clean"), [("名侦探第二季", "名侦探"), ("show season 2", "show"), ("节目 高清", "节目"), ("a b.c!", "abc"), ("ABC: News-Today", "ABCNewsToday")])
 def test_clean_title(spark, title, clean):
     assert one(spark, X.clean_title(text(title))) == clean
 

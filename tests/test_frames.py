@@ -1,5 +1,8 @@
 """DataFrame operators, sources and payloads on small rows."""
 
+import math
+
+import numpy as np
 import pytest
 
 from tagloom.operators import frames as O
@@ -54,6 +57,37 @@ def test_cosine_without_shared_feature_gives_no_row(spark):
     assert rows(I.best_collection(left, right), "item", "other") == [(1, 9)]
 
 
+def test_cosines_of_blocks_are_those_of_one_block(spark):
+    """Tags that all items have, ties, zero and negative values, against plain Python."""
+    rng = np.random.default_rng(2)
+    vectors = {}
+    for i in range(60):
+        own = {"all": 1.0} | {f"t{k}": float(rng.integers(-2, 3)) for k in rng.choice(9, 3, replace=False)}
+        vectors[i] = own if i % 9 else {f"only{i}": 1.0}
+    vectors[60], vectors[61] = {"all": 0.0}, dict(vectors[5])
+    data = [(i, t, v) for i, own in vectors.items() for t, v in own.items()]
+    left = spark.createDataFrame(data, "item long, idx string, val double")
+    right = left.withColumnRenamed("item", "other")
+    want = {}
+    for a, x in vectors.items():
+        for b, y in vectors.items():
+            length = math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
+            if x.keys() & y.keys() and length:
+                want[a, b] = sum(x[t] * y[t] for t in x.keys() & y.keys()) / length
+    for block in (7, 1000):
+        got = {(r["item"], r["other"]): r["cosine"] for r in O.cosine_pairs(left, right, block=block).collect()}
+        assert got == pytest.approx(want, abs=1e-9)
+        near = O.cosine_pairs(left, right, count=3, min_cosine=0.1, same=False, block=block).collect()
+        best = {}
+        for (a, b), c in sorted(want.items(), key=lambda x: (x[0][0], -round(x[1], 9), x[0][1])):
+            if a != b and round(c, 9) > 0.1 and len(best.setdefault(a, [])) < 3:
+                best[a].append(b)
+        found = {}
+        for r in sorted(near, key=lambda r: (r["item"], -r["cosine"], r["other"])):
+            found.setdefault(r["item"], []).append(r["other"])
+        assert found == {a: b for a, b in best.items() if b}
+
+
 def test_tf_idf_modes(spark):
     frame = spark.createDataFrame([("c", 1, "a", 2.0), ("c", 1, "a", 2.0), ("c", 2, "b", 2.0)], "channel string, item int, tag string, channel_weight double")
     linear, squared = (dict((r[1], r[3]) for r in rows(T.tf_idf(frame, mode)) if r[2] == "a") for mode in ("linear", "per_occurrence"))
@@ -91,6 +125,19 @@ def test_latest_complete_path(spark):
     root = fs.Path(path)
     root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs.Path(f"{path}/20240102/_SUCCESS"), False)
     assert S.latest_complete_path(spark, path) == f"{path}/20240101"
+    for day, number in (("20240103", 2), ("20240104", 7)):  # a check file gives the number of the other files
+        spark.createDataFrame([(str(number),)], "value string").coalesce(1).write.text(f"{path}/{day}/hour")
+        hadoop = fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        folder = fs.Path(f"{path}/{day}/hour")
+        for entry in hadoop.listStatus(folder):
+            name = entry.getPath().getName()
+            if name.startswith("part-"):
+                hadoop.rename(entry.getPath(), fs.Path(folder, "files.check"))
+            else:
+                hadoop.delete(entry.getPath(), False)
+        for k in range(2):
+            hadoop.create(fs.Path(folder, f"data-{k}")).close()
+    assert S.latest_complete_path(spark, path) == f"{path}/20240103"
 
 
 def test_payload_modes(spark):
