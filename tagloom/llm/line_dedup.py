@@ -110,8 +110,8 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_segment: int = 12, blo
     class_doc, class_line (the first line of the class by doc_id, text_key, line
     number) and kept (true for that line).
 
-    Defined cases: null and empty texts and blank lines give no row; null doc_ids
-    come last in order; of repeated rows all first lines are kept; other columns
+    Defined cases: null and empty texts and blank lines give no row; lines of any
+    length count whole; null doc_ids come last in order; of repeated rows all first lines are kept; other columns
     are ignored; an empty table gives an empty result. ``block`` bounds how many
     lines of one key are compared in one row of a plan.
     """
@@ -141,6 +141,8 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_segment: int = 12, blo
     firsts = near.join(distinct.select("digest", "first"), "digest")
     merged = near.join(firsts.groupBy("component").agg(F.min("first").alias("class_first")), "component").select("digest", "class_first")
     named = distinct.select("digest", "first", "n_copies").join(merged, "digest", "left").select("digest", "n_copies", F.coalesce("class_first", "first").alias("of"))
+    # written, so that both sides of the next join come from shuffles and a common line's rows can be split
+    named = _write(named, "line-named")
     whole = _lines(docs).select("doc_id", "text_key", "line_no", "digest").join(named, "digest")
     kept = F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & F.col("text_key").eqNullSafe(F.col("of.text_key")) & (F.col("line_no") == F.col("of.line_no"))
     return whole.select("doc_id", "text_key", "line_no", "n_copies", F.col("of.doc_id").alias("class_doc"), F.col("of.line_no").alias("class_line"), kept.alias("kept"))

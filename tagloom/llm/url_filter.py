@@ -40,13 +40,17 @@ def path_of(url: Column) -> Column:
 
 
 def _precedence(rules: list[UrlRule]) -> list[UrlRule]:
-    """Longest first; of one rule given twice, block."""
-    return sorted(rules, key=lambda r: (-len(r.rule), r.rule, r.verdict != "block"))
+    """Longest first; of equally long ones block, then the first by text."""
+    return sorted(rules, key=lambda r: (-len(r.rule), r.verdict != "block", r.rule))
 
 
-def with_rule(urls: DataFrame, rules: list[UrlRule]) -> DataFrame:
-    """``urls`` (with host and path) plus ``rule`` and ``rule_verdict`` of the longest rule that fits."""
-    if len(rules) <= INLINE_RULES:
+def with_rule(urls: DataFrame, rules: list[UrlRule], inline: int = INLINE_RULES) -> DataFrame:
+    """``urls`` (with host and path) plus ``rule`` and ``rule_verdict`` of the longest rule that fits.
+
+    Of equally long ones a block rule wins, then the first by text. Few rules become
+    one expression, many a table joined by host; both give the same rows.
+    """
+    if len(rules) <= inline:
         none = F.lit(None).cast("struct<rule:string,verdict:string>")
         chosen = none
         for r in reversed(_precedence(rules)):
@@ -58,8 +62,8 @@ def with_rule(urls: DataFrame, rules: list[UrlRule]) -> DataFrame:
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     pairs = urls.select("host", "path").distinct().withColumn("rule_host", F.explode(suffixes)).join(table, "rule_host").where(F.startswith("path", "rule_path"))
-    rank = F.struct(F.length("rule"), F.when(F.col("verdict") == "block", 1).otherwise(0))
-    best = pairs.groupBy("host", "path").agg(F.max_by("rule", rank).alias("rule"), F.max_by("verdict", rank).alias("rule_verdict"))
+    rank = F.struct(-F.length("rule"), F.col("verdict") != "block", "rule")
+    best = pairs.groupBy("host", "path").agg(F.min_by("rule", rank).alias("rule"), F.min_by("verdict", rank).alias("rule_verdict"))
     return urls.join(best, ["host", "path"], "left").select(*urls.columns, "rule", "rule_verdict")
 
 
@@ -78,23 +82,29 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.coalesce(every, F.array().cast("array<string>")))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_rows: int = 20, min_confidence: float = 0.6, min_lift: float = 1.5) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_rows: int = 20, min_lift: float = 1.5, deviations: float = 2.6) -> DataFrame:
     """Token combinations that mark bad URLs: (antecedent, confidence, pivot).
 
     ``labelled(url, bad)``. FP-growth finds the combinations in at least
-    ``min_support`` of the rows and in ``min_rows`` of them; rules for the bad label stay with
-    ``min_confidence`` and ``min_lift``, unless one with fewer of the same tokens
-    is as confident. The pivot is the rule's rarest token.
+    ``min_support`` of the rows and in ``min_rows`` of them. A rule for the bad label
+    stays if its confidence is surely ``min_lift`` times the share of bad rows, or
+    half way from that share to 1 if that is less: the lower end of the Wilson interval of so many ``deviations`` has to reach that. So the
+    bar follows the labels, and a combination of few rows needs a clearer case. A rule
+    goes if one with fewer of the same tokens is as confident. The pivot is the rule's
+    rarest token.
     """
     tokens = materialise(labelled.where("url is not null and bad is not null").select(url_tokens(F.col("url")).alias("tokens"), "bad"), "url-tokens")
-    rows = tokens.count()
+    rows, share = tokens.agg(F.count("*"), F.avg(F.col("bad").cast("int"))).first()
     empty = "antecedent array<string>, confidence double, pivot string"
     if rows < min_rows:
         return labelled.sparkSession.createDataFrame([], empty)
+    bar = min(share * min_lift, (1 + share) / 2)
     baskets = tokens.select(F.when(F.col("bad"), F.array_append("tokens", BAD)).otherwise(F.col("tokens")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_rows / rows)), minConfidence=min_confidence).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_rows / rows)), minConfidence=bar).fit(baskets)
     single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    found = model.associationRules.where((F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") >= min_lift))
+    p, n, z = F.col("confidence"), F.round(F.col("support") / F.col("confidence") * rows), deviations
+    surely = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    found = model.associationRules.where((F.col("consequent") == F.array(F.lit(BAD))) & (surely >= bar))
     rules = materialise(found.select(F.array_sort("antecedent").alias("antecedent"), "confidence"), "url-rules")
     exploded = rules.withColumn("token", F.explode("antecedent"))
     shorter = exploded.join(rules.select(F.col("antecedent").alias("part"), F.col("confidence").alias("part_confidence"), F.col("antecedent")[0].alias("token")), "token")
@@ -123,7 +133,8 @@ def filter_urls(pages: DataFrame, labelled: DataFrame, rules: list[UrlRule], **m
     combination, else allow.
 
     Defined cases: a null url, or one without ``://``, has empty host and path,
-    fits no rule and, if null, matches no combination; repeated rows get equal
+    fits no rule and, if null, matches no combination; a url of any length is one
+    set of tokens; of equally long rules that fit block wins; repeated rows get equal
     verdicts; other columns are ignored; without ``min_rows`` labelled rows no
     rule is mined; an empty table gives an empty result.
     """

@@ -1,6 +1,8 @@
 """Training-data operators on small rows: nulls, empty and long texts, ties, repeated rows, extra columns."""
 
+import itertools
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -213,14 +215,47 @@ def test_url_parts_and_rules(spark):
         ("", "", None, "allow"), ("", "", None, "allow"), ("notexample.org", "/es/", "org/", "allow"), ("org", "", None, "allow"), ("a", "/b://c/d", None, "allow"),
     ]
     parts = frame.select("page_id", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
-    old, url_filter.INLINE_RULES = url_filter.INLINE_RULES, 0
-    try:
-        joined = url_filter.with_rule(parts, rules).collect()
-    finally:
-        url_filter.INLINE_RULES = old
+    joined = url_filter.with_rule(parts, rules, inline=0).collect()
     assert {(r["page_id"], r["rule"], r["rule_verdict"]) for r in joined} == {(r["page_id"], r["rule"], r["rule_verdict"]) for r in url_filter.with_rule(parts, rules).collect()}
 
 
+def test_equally_long_rules_fit_alike_on_both_paths(spark):
+    rules = [url_filter.UrlRule(*r) for r in (("allow", "b.org/xy"), ("block", "org/xyzw"), ("allow", "a.b.org/"), ("block", "b.org/x"), ("allow", "b.org/x"), ("allow", "org/xyz/"))]
+    parts = spark.createDataFrame([("a.b.org", p) for p in ("/xy", "/xyzw", "/", "/x", "/xyz/")] + [("c.org", "/xyzw"), ("", "")], "host string, path string")
+    few, many = ({tuple(r) for r in url_filter.with_rule(parts, rules, inline=n).collect()} for n in (1000, 0))
+    assert few == many
+    assert ("a.b.org", "/xyzw", "org/xyzw", "block") in few  # as long as two allow rules
+    assert ("a.b.org", "/x", "a.b.org/", "allow") in few
+
+
+def test_mined_rules_are_those_of_brute_force(spark):
+    """Every set of tokens of every URL, counted; the same bar; implied rules dropped."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(400):
+        host, path = rng.choice(["a.com", "b.com", "c.net"]), rng.choice(["win", "day", "news"])
+        rows.append((f"http://{host}/{path}/{i}", bool(rng.random() < (0.9 if (host, path) == ("b.com", "win") else 0.5 if host == "c.net" else 0.1))))
+    frame = spark.createDataFrame(rows, "url string, bad boolean")
+    bags = [(frozenset(r["t"]), r["bad"]) for r in frame.select(url_filter.url_tokens(F.col("url")).alias("t"), "bad").collect()]
+    counts, hits = Counter(), Counter()
+    for tokens, bad in bags:
+        for k in range(1, len(tokens) + 1):
+            for part in itertools.combinations(sorted(tokens), k):
+                counts[part] += 1
+                hits[part] += bad
+    share = sum(b for _, b in bags) / len(bags)
+    bar, z, want = min(share * 1.5, (1 + share) / 2), 2.6, {}
+    for part, n in counts.items():
+        p = hits[part] / n
+        surely = (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        if hits[part] >= 20 and surely >= bar:
+            want[part] = p
+    want = {a: p for a, p in want.items() if not any(set(b) < set(a) and q >= p - 1e-12 for b, q in want.items())}
+    got = {tuple(r["antecedent"]): r["confidence"] for r in url_filter.mine_rules(frame).collect()}
+    assert got == pytest.approx(want)
+    assert got
+
+
 def test_mined_rules(spark):
     bad = [(f"http://s{i % 5}.casino.com/win/{i}", True) for i in range(60)]
     good = [(f"http://s{i % 5}.news.com/{'win' if i % 2 else 'day'}/{i}", False) for i in range(240)] + [(None, True), ("http://x.com/", None)]
