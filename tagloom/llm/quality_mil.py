@@ -109,6 +109,23 @@ def _forward(weights: dict[str, np.ndarray], x: np.ndarray, bounds: np.ndarray)
     return hidden, left, right, attention, pooled, score
 
 
+def gradient(weights: dict[str, np.ndarray], x: np.ndarray, bounds: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Weighted log loss of documents and its slopes."""
+    hidden, left, right, attention, pooled, score = _forward(weights, x, bounds)
+    sizes = np.diff(bounds)
+    error = (score - labels) * weight
+    back = np.repeat(error, sizes)[:, None] * weights["c"]
+    gain = (back * hidden).sum(axis=1)
+    energy = attention * (gain - np.repeat(np.add.reduceat(attention * gain, bounds[:-1]), sizes))
+    to_left, to_right = energy[:, None] * weights["w"] * right * (1 - left**2), energy[:, None] * weights["w"] * left * right * (1 - right)
+    to_hidden = (attention[:, None] * back + to_left @ weights["V"].T + to_right @ weights["U"].T) * (1 - hidden**2)
+    loss = -float((weight * (labels * np.log(score) + (1 - labels) * np.log(1 - score))).sum())
+    return loss, {
+        "W": x.T @ to_hidden, "b": to_hidden.sum(axis=0), "V": hidden.T @ to_left, "U": hidden.T @ to_right,
+        "w": (left * right).T @ energy, "c": pooled.T @ error, "d": error.sum(),
+    }
+
+
 def train(x: np.ndarray, bounds: np.ndarray, labels: np.ndarray, epochs: int = 40, rate: float = 0.01, decay: float = 1e-4, seed: int = 3) -> Model:
     """Gated-attention MIL by Adam; classes weigh the same. Without both classes every score is 0.5."""
     rng = np.random.default_rng(seed)
@@ -129,19 +146,8 @@ def train(x: np.ndarray, bounds: np.ndarray, labels: np.ndarray, epochs: int = 4
             sizes = np.diff(bounds)[docs]
             rows = np.repeat(bounds[docs] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
             own, part = np.concatenate([[0], np.cumsum(sizes)]), x[rows]
-            hidden, left, right, attention, pooled, score = _forward(weights, part, own)
-            error = (score - labels[docs]) * class_weight[docs] / len(docs)
-            back = np.repeat(error, sizes)[:, None] * weights["c"]
-            gain = (back * hidden).sum(axis=1)
-            energy = attention * (gain - np.repeat(np.add.reduceat(attention * gain, own[:-1]), sizes))
-            to_left, to_right = energy[:, None] * weights["w"] * right * (1 - left**2), energy[:, None] * weights["w"] * left * right * (1 - right)
-            to_hidden = (attention[:, None] * back + to_left @ weights["V"].T + to_right @ weights["U"].T) * (1 - hidden**2)
-            slope = {
-                "W": part.T @ to_hidden, "b": to_hidden.sum(axis=0), "V": hidden.T @ to_left, "U": hidden.T @ to_right,
-                "w": (left * right).T @ energy, "c": pooled.T @ error, "d": error.sum(),
-            }
             step += 1
-            for k, g in slope.items():
+            for k, g in gradient(weights, part, own, labels[docs], class_weight[docs] / len(docs))[1].items():
                 g = g + decay * weights[k]
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.999 * second[k] + 0.001 * g * g
@@ -159,11 +165,16 @@ def held_out(doc_id):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
-    """(text, label) of at most ``limit`` labelled documents, chosen by a hash of the id."""
+    """(doc_id, text, label) of at most ``limit`` labelled documents, chosen by a hash of the id.
+
+    Of several labels of one id the largest counts, and of several rows of one id the one
+    of least text hash, so ``limit`` bounds the rows.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)  # at most ``limit`` rows, so it may be broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_docs: int = 4000) -> Model:
@@ -188,8 +199,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_docs: in
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row; only the text is looked at.
 
-    Defined cases: null and empty texts are one passage of zeros and get a score
-    like any other; every passage of a long text counts; null doc_ids and repeated
+    Defined cases: of several labels of one doc_id the largest counts; null and
+    empty texts are one passage of zeros and get a score like any other; every passage of a long text counts; null doc_ids and repeated
     rows are scored like others; other columns are ignored; an empty table gives
     an empty result.
     """

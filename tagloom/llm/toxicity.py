@@ -120,7 +120,7 @@ def _embed(tables: np.ndarray, slots: np.ndarray) -> np.ndarray:
 def _convolve(filters: list[np.ndarray], biases: np.ndarray, x: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Rectified response of each filter at each word; none across the end of a text."""
     flat = x @ np.concatenate([f.transpose(1, 0, 2).reshape(DIMENSION, -1) for f in filters], axis=1)
-    out = np.zeros((len(x), POOLED), np.float32)
+    out = np.zeros((len(x), POOLED), x.dtype)
     column = 0
     for k, width in enumerate(WIDTHS):
         part = out[:, k * FILTERS : (k + 1) * FILTERS]

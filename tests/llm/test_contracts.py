@@ -85,6 +85,27 @@ def test_scores(spark, duck, name, label):
     assert run(spark, name) == rows  # reruns agree
 
 
+def area_under_curve(scores, labels):
+    order = np.argsort(np.argsort(scores, kind="stable"), kind="stable")
+    n = labels.sum()
+    return (order[labels == 1].sum() - n * (n - 1) / 2) / (n * (len(labels) - n))
+
+
+@pytest.mark.parametrize(
+    ("name", "label", "size", "area", "share"),
+    [("op6_quality_classifier", "quality", "0.01", 0.95, 0.9), ("op6_quality_classifier", "quality", "0.1", 0.95, 0.95), ("op8_toxicity", "toxic", "0.01", 0.8, 0.7), ("op8_toxicity", "toxic", "0.1", 0.95, 0.88)],
+)
+def test_scores_of_held_out_documents(spark, name, label, size, area, share):
+    folder = DATA.parent / f"sf{size}"
+    marks = dict(duckdb.execute(f"SELECT doc_id, {label} FROM '{folder}/labels.parquet'").fetchall())
+    rows = [r for r in QUERIES[name](spark, str(folder)).collect() if r["held_out"] and r["doc_id"] in marks]
+    truth, said = np.array([marks[r["doc_id"]] for r in rows]), np.array([r["predicted"] for r in rows])
+    assert area_under_curve(np.array([r["score"] for r in rows]), truth) >= area
+    right = (truth & said).sum()
+    assert right / said.sum() >= share
+    assert right / truth.sum() >= share
+
+
 def test_shards_hold_every_row_once(spark, duck):
     rows = run(spark, "op7_sharding")
     assert sorted(r["doc_id"] for r in rows) == [x for (x,) in duck.execute("SELECT doc_id FROM documents ORDER BY 1").fetchall()]

@@ -351,6 +351,47 @@ def test_toxicity_model_learns_and_scores(spark, docs, none):
     assert {round(r["score"], 6) for r in toxicity.score_toxicity(docs, untrained).collect()} == {0.5}
 
 
+def slopes_by_difference(loss, array, step=1e-6):
+    out = np.zeros_like(array)
+    for at in np.ndindex(array.shape):
+        old = array[at]
+        array[at] = old + step
+        above = loss()
+        array[at] = old - step
+        out[at] = (above - loss()) / (2 * step)
+        array[at] = old
+    return out
+
+
+def test_gradient_of_attention():
+    rng = np.random.default_rng(1)
+    bounds, labels, weight = np.array([0, 1, 4, 9]), np.array([1.0, 0.0, 1.0]), np.array([0.3, 0.5, 0.2])
+    x = rng.normal(size=(9, quality_mil.WIDTH))
+    shape = {"W": (quality_mil.WIDTH, 3), "b": (3,), "V": (3, 2), "U": (3, 2), "w": (2,), "c": (3,), "d": (1,)}
+    weights = {k: rng.normal(0, 0.5, s) for k, s in shape.items()}
+    slopes = quality_mil.gradient(weights, x, bounds, labels, weight)[1]
+    for k in shape:
+        expected = slopes_by_difference(lambda: quality_mil.gradient(weights, x, bounds, labels, weight)[0], weights[k])
+        assert np.allclose(slopes[k], expected, atol=1e-6), k
+
+
+def test_gradient_of_convolution():
+    rng = np.random.default_rng(2)
+    bounds, labels, weight = np.array([0, 2, 7, 19]), np.array([1.0, 0.0, 1.0]), np.array([0.3, 0.5, 0.2])
+    x = rng.normal(size=(19, toxicity.DIMENSION))
+    filters = [rng.normal(0, 0.3, (w, toxicity.DIMENSION, toxicity.FILTERS)) for w in toxicity.WIDTHS]
+    biases, output, keep = rng.normal(0, 0.3, toxicity.POOLED), rng.normal(0, 0.3, toxicity.POOLED), (rng.random((3, toxicity.POOLED)) < 0.8) / 0.8
+    run = lambda: toxicity.gradient(filters, biases, output, 0.1, x, bounds, labels, weight, keep)
+    g = run()
+    for k in range(len(filters)):
+        assert np.allclose(g.filters[k], slopes_by_difference(lambda: run().loss, filters[k]), atol=1e-6)
+    assert np.allclose(g.biases, slopes_by_difference(lambda: run().loss, biases), atol=1e-6)
+    assert np.allclose(g.output, slopes_by_difference(lambda: run().loss, output), atol=1e-6)
+    to_x = np.zeros_like(x)
+    np.add.at(to_x, g.x[0], g.x[1])
+    assert np.allclose(to_x, slopes_by_difference(lambda: run().loss, x), atol=1e-6)
+
+
 # --------------------------------------------------------------------- op 7
 
 
