@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +22,8 @@ from tagloom.llm.common import coded
 
 #: Shards that one merge job reads: bounds the list of paths on the driver.
 WAVE_SHARDS = 10_000
+#: Runs that one job merges: bounds its plan.
+JOB_RUNS = 100
 
 MANIFEST = "path string, tier int, rows long, bytes long, first_id long, last_id long, added long"
 
@@ -160,16 +163,16 @@ class ShardStore:
             return None
         version, added, folders = current[-1] + 1, [], []
         for lane in due:  # a lane holds about WAVE_SHARDS shards
-            wave = plan.where(F.col("lane") == lane)
-            paths = [r["path"] for r in wave.select("path").orderBy("path").toLocalIterator()]
-            runs = wave.agg(F.max("run")).first()[0] + 1
-            shards = self._rows_in(paths)
-            columns = shards.columns
-            of_path, of_run = free_name("path", columns), free_name("run", columns)
-            keyed = shards.withColumn(of_path, F.col("_metadata.file_path")).join(F.broadcast(wave.select(F.col("path").alias(of_path), F.col("run").alias(of_run))), of_path)
-            folders.append(f"{self.root}/data/{uuid.uuid4().hex}")
-            keyed.select(*(keyed[f"`{c}`"] for c in columns), of_run).repartition(4 * runs, of_run).write.partitionBy(of_run).option("compression", "zstd").parquet(folders[-1])
-            added.append(self._shards_in(folders[-1], version))
+            runs: dict[int, list[str]] = {}
+            for row in plan.where(F.col("lane") == lane).select("run", "path").orderBy("run", "path").toLocalIterator():
+                runs.setdefault(row["run"], []).append(row["path"])
+            schema = self._rows_in([path for paths in runs.values() for path in paths]).schema
+            # a run is read by one task, which writes one file of the target's size: no shuffle
+            merges = [self.spark.read.schema(schema).parquet(*paths).coalesce(1) for paths in runs.values()]
+            for begin in range(0, len(merges), JOB_RUNS):
+                folders.append(f"{self.root}/data/{uuid.uuid4().hex}")
+                reduce(DataFrame.union, merges[begin : begin + JOB_RUNS]).write.option("compression", "zstd").parquet(folders[-1])
+                added.append(self._shards_in(folders[-1], version))
         merged = live.join(plan.select("path"), "path", "left_anti").select(*live.columns)
         for shards in added:
             merged = merged.unionByName(shards)
