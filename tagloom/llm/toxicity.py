@@ -95,7 +95,7 @@ def slots_of_texts(slots: np.ndarray, first: np.ndarray) -> list[tuple[np.ndarra
     """By kind, (text, slot) of the slots that a text holds, each once."""
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
     once = [np.unique(text * BUCKETS + slots[:, k]) for k in range(KINDS)]
-    return [(pairs // BUCKETS, pairs % BUCKETS) for pairs in once]
+    return [((pairs // BUCKETS).astype(np.int32), (pairs % BUCKETS).astype(np.uint16)) for pairs in once]
 
 
 def _texts_per_slot(held: list[tuple[np.ndarray, np.ndarray]], chosen: np.ndarray) -> np.ndarray:
@@ -329,7 +329,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int
     rows = sample.mapInArrow(run, "doc_id long, label int, language int, slots binary").toArrow().sort_by([("doc_id", "ascending"), ("slots", "ascending")])
     first = np.concatenate([[0], np.cumsum([len(v.as_py()) // (2 * KINDS) for v in rows.column("slots")])]).astype(np.int64)
     slots = np.frombuffer(b"".join(v.as_py() for v in rows.column("slots")), np.uint16).reshape(-1, KINDS)
-    return train(slots, first, rows.column("label").to_numpy().astype(np.float64), rows.column("language").to_numpy())
+    marks, languages = rows.column("label").to_numpy().astype(np.float64), rows.column("language").to_numpy()
+    del rows  # as large as the slots
+    return train(slots, first, marks, languages)
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
