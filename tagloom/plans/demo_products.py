@@ -94,7 +94,7 @@ def m_invert(spark, d):
 @query(
     """
     , t AS (SELECT trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title FROM pages),
-    c AS (SELECT regexp_replace(regexp_replace(regexp_replace(title, '(season \\d+)|(\\d+)$', '', 'g'), '\\s', '', 'g'), '[<> _,()~'';":\-`!@#$%^&*+=\\[\\]{}>?/.|\\\\]', '', 'g') AS word FROM t)
+    c AS (SELECT regexp_replace(regexp_replace(regexp_replace(title, '(season \\d+)|(\\d+)$', '', 'g'), '\\s', '', 'g'), '[<> _,()~'';":\\-`!@#$%^&*+=\\[\\]{}>?/.|\\\\]', '', 'g') AS word FROM t)
     SELECT DISTINCT word FROM (SELECT lower(trim(word)) AS word FROM c UNION ALL SELECT lower(tag) FROM ch) WHERE length(word) > 1
     """
 )
