@@ -392,6 +392,19 @@ def test_gradient_of_convolution():
     assert np.allclose(to_x, slopes_by_difference(lambda: run().loss, x), atol=1e-6)
 
 
+def test_columns_of_any_name_pass_through(spark):
+    extra = ["key", "row", "stays", "gone", "spans", "piece", "out_shard", "slot", "text_key", "quality", "_0"]
+    text = "the quick fox of the wood and its kin went to the river in the night for water that was cold and clear as glass."
+    rows = [(i, f"{text} {i}" * (1 + i % 2), "en", "a", 9, *range(len(extra))) for i in range(4)] + [(None, None, None, None, None, *range(len(extra)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` long" for n in extra))
+    bench = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
+    for result in (quality_rules.keep_quality(frame), ngram_join.drop_near_duplicates(frame), decontaminate.drop_leaks(frame, bench), mixing.mix_documents(frame), line_dedup.dedup_lines(frame)):
+        assert result.columns == frame.columns
+        found = result.collect()
+        assert found
+        assert {tuple(r[n] for n in extra) for r in found} == {tuple(range(len(extra)))}
+
+
 # --------------------------------------------------------------------- op 7
 
 
