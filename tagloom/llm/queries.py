@@ -14,6 +14,7 @@ from tagloom.llm.ngram_join import ngram_jaccard_join
 from tagloom.llm.quality_mil import held_out
 from tagloom.llm.quality_rules import STOP_WORDS, with_quality
 from tagloom.llm.sharding import ShardStore
+from tagloom.llm.token_count import with_token_counts
 from tagloom.llm.url_filter import UrlRule, filter_urls
 from tagloom.llm.warc import archive_pages
 
@@ -95,6 +96,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -106,6 +114,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_token_counts": op11_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
