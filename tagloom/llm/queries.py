@@ -14,6 +14,7 @@ from tagloom.llm.ngram_join import ngram_jaccard_join
 from tagloom.llm.quality_mil import held_out
 from tagloom.llm.quality_rules import STOP_WORDS, with_quality
 from tagloom.llm.sharding import ShardStore
+from tagloom.llm.spelling import spelling_variants
 from tagloom.llm.token_count import with_token_counts
 from tagloom.llm.url_filter import UrlRule, filter_urls
 from tagloom.llm.warc import archive_pages
@@ -103,6 +104,10 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -115,6 +120,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_line_dedup": op10_line_dedup,
     "op11_token_counts": op11_token_counts,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {
