@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import quality_mil, toxicity
+from tagloom.llm.collocations import collocations
 from tagloom.llm.common import scratch_path
 from tagloom.llm.decontaminate import find_leaks
 from tagloom.llm.line_dedup import line_classes
@@ -108,6 +109,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -121,6 +126,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_token_counts": op11_token_counts,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -189,4 +195,41 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(any_value(n_text_links), 0)::BIGINT AS n_text_links, coalesce(any_value(c), 0)::INTEGER AS n_grams
         FROM reach LEFT JOIN links ON links.x = reach.doc_id LEFT JOIN n USING (doc_id) GROUP BY doc_id
     """,
+    "op13_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), w AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p
+        ), u AS (
+            SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(ws) AS word FROM w) GROUP BY lang, word
+        ), t AS (
+            SELECT lang, sum(n)::BIGINT AS n FROM u GROUP BY lang
+        ), s AS (
+            SELECT lang, ws, unnest(range(1, len(ws))) AS i FROM w
+        ), c AS (
+            SELECT lang, phrase, m, count(*) AS a
+            FROM (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM s, (SELECT unnest([2, 3, 4]) AS m) WHERE i + m - 1 <= len(ws))
+            GROUP BY lang, phrase, m HAVING count(*) >= 30
+        ), parts AS (
+            SELECT lang, word AS part, n FROM u UNION ALL SELECT lang, phrase, a FROM c
+        ), cuts AS (
+            SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:m], ' ') AS y
+            FROM (SELECT lang, phrase, a, m, string_split(phrase, ' ') AS ws, unnest(range(1, m)) AS k FROM c)
+        ), scores AS (
+            SELECT lang, phrase, a, k, l.n AS l, r.n AS r, (2000000::HUGEINT * a) // (l.n + r.n) AS score
+            FROM cuts JOIN parts l USING (lang) JOIN parts r USING (lang) WHERE l.part = x AND r.part = y
+        ), weakest AS (
+            SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inside AS (
+            SELECT lang, array_to_string(ws[i:i + z - 1], ' ') AS phrase, max(a) AS around
+            FROM (SELECT lang, a, m, string_split(phrase, ' ') AS ws, unnest(range(1, m)) AS i FROM c), (SELECT unnest([2, 3]) AS z)
+            WHERE z < m AND i + z - 1 <= m GROUP BY ALL
+        ), kept AS (
+            SELECT weakest.* FROM weakest LEFT JOIN inside USING (lang, phrase) WHERE coalesce(100 * around < 80 * a, true)
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n, score::BIGINT AS score
+        FROM kept JOIN t USING (lang) QUALIFY rank <= 2000
+    """,
 }
