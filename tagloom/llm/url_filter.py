@@ -8,7 +8,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import materialise
+from tagloom.llm.common import materialise, sized
 
 #: Rules that are compiled into an expression; more are joined by host.
 INLINE_RULES = 1000
@@ -82,39 +82,72 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.coalesce(every, F.array().cast("array<string>")))
 
 
+def _classes(tokens: DataFrame, least: float) -> DataFrame:
+    """(token, freq, item): tokens in ``least`` rows or more; ``item`` is the first of those in just the same rows."""
+    each = tokens.select("row", F.explode("tokens").alias("token"))
+    seen = each.groupBy("token").agg(F.count("*").alias("freq"), F.bit_xor(F.xxhash64("row")).alias("a"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b")).where(F.col("freq") >= least - 1e-6)
+    seen = materialise(seen, "url-seen")
+    firsts = seen.groupBy("freq", "a", "b").agg(F.min("token").alias("item"))
+    return materialise(seen.join(firsts, ["freq", "a", "b"]).select("token", "freq", "item"), "url-classes")
+
+
+def _minimal(rules: DataFrame) -> DataFrame:
+    """Rules without those of which a part is as confident."""
+    exploded = rules.withColumn("token", F.explode("antecedent"))
+    shorter = exploded.join(rules.select(F.col("antecedent").alias("part"), F.col("confidence").alias("part_confidence"), F.col("antecedent")[0].alias("token")), "token")
+    implied = (
+        shorter.where((F.size("part") < F.size("antecedent")) & (F.size(F.array_except("part", "antecedent")) == 0) & (F.col("part_confidence") >= F.col("confidence")))
+        .select("antecedent")
+        .distinct()
+    )
+    return rules.join(implied, "antecedent", "left_anti")
+
+
+def _spelled_out(rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """(antecedent, confidence, pivot): each rule of items as the rules of one token per item."""
+    members = classes.groupBy(F.col("item").alias("token")).agg(F.collect_list("token").alias("members"), F.max("freq").alias("freq"))
+    parts = rules.withColumn("token", F.explode("antecedent")).join(members, "token").groupBy("antecedent", "confidence").agg(F.collect_list("members").alias("choices"), F.min_by("members", F.struct("freq", "token")).alias("rarest"))
+    one = F.array(F.array().cast("array<string>"))
+    every = F.aggregate("choices", one, lambda found, choice: F.flatten(F.transform(found, lambda x: F.transform(choice, lambda t: F.array_append(x, t)))))
+    rules = parts.select("confidence", "rarest", F.explode(every).alias("antecedent"))
+    return rules.select(F.array_sort("antecedent").alias("antecedent"), "confidence", F.array_min(F.array_intersect("antecedent", "rarest")).alias("pivot"))
+
+
 def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_rows: int = 20, min_lift: float = 1.5, deviations: float = 2.6) -> DataFrame:
     """Token combinations that mark bad URLs: (antecedent, confidence, pivot).
 
     ``labelled(url, bad)``. FP-growth finds the combinations in at least
-    ``min_support`` of the rows and in ``min_rows`` of them. A rule for the bad label
-    stays if its confidence is surely ``min_lift`` times the share of bad rows, or
-    half way from that share to 1 if that is less: the lower end of the Wilson interval of so many ``deviations`` has to reach that. So the
-    bar follows the labels, and a combination of few rows needs a clearer case. A rule
-    goes if one with fewer of the same tokens is as confident. The pivot is the rule's
-    rarest token.
+    ``min_support`` of the rows and in ``min_rows`` of them. Tokens in just the same rows
+    are mined as one item, and its rules are spelled out with each of them: rows that
+    repeat a long URL would otherwise have a combination for each subset of its tokens.
+    A rule for the bad label stays if its confidence is surely ``min_lift`` times the
+    share of bad rows, or half way from that share to 1 if that is less: the lower end of
+    the Wilson interval of so many ``deviations`` has to reach that. So the bar follows
+    the labels, and a combination of few rows needs a clearer case. A rule goes if one
+    with fewer of the same tokens is as confident. The pivot is the rule's rarest token.
+
+    Defined cases: rows with a null url or label are left out; repeated rows count each
+    time; fewer than ``min_rows`` rows, or labels of one kind, give no rules.
     """
-    tokens = materialise(labelled.where("url is not null and bad is not null").select(url_tokens(F.col("url")).alias("tokens"), "bad"), "url-tokens")
+    tokens = labelled.where("url is not null and bad is not null").select(url_tokens(F.col("url")).alias("tokens"), "bad", F.monotonically_increasing_id().alias("row"))
+    tokens = materialise(tokens, "url-tokens")
     rows, share = tokens.agg(F.count("*"), F.avg(F.col("bad").cast("int"))).first()
     empty = "antecedent array<string>, confidence double, pivot string"
     if rows < min_rows:
         return labelled.sparkSession.createDataFrame([], empty)
     bar = min(share * min_lift, (1 + share) / 2)
-    baskets = tokens.select(F.when(F.col("bad"), F.array_append("tokens", BAD)).otherwise(F.col("tokens")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_rows / rows)), minConfidence=bar).fit(baskets)
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
+    support = min(1.0, max(min_support, min_rows / rows))
+    classes = _classes(tokens, support * rows)
+    items = sized(classes.where("token = item").select("token"))
+    held = tokens.select("row", F.explode("tokens").alias("token")).join(items, "token").groupBy("row").agg(F.collect_list("token").alias("tokens"))
+    every = tokens.select("row", "bad").join(held, "row", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+    baskets = every.select(F.when(F.col("bad"), F.array_append("tokens", BAD)).otherwise(F.col("tokens")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=bar).fit(baskets)
     p, n, z = F.col("confidence"), F.round(F.col("support") / F.col("confidence") * rows), deviations
     surely = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
     found = model.associationRules.where((F.col("consequent") == F.array(F.lit(BAD))) & (surely >= bar))
     rules = materialise(found.select(F.array_sort("antecedent").alias("antecedent"), "confidence"), "url-rules")
-    exploded = rules.withColumn("token", F.explode("antecedent"))
-    shorter = exploded.join(rules.select(F.col("antecedent").alias("part"), F.col("confidence").alias("part_confidence"), F.col("antecedent")[0].alias("token")), "token")
-    implied = (
-        shorter.where((F.size("part") < F.size("antecedent")) & (F.size(F.array_except("part", "antecedent")) == 0) & (F.col("part_confidence") >= F.col("confidence")))
-        .select("antecedent")
-        .distinct()
-    )
-    kept = exploded.join(implied, "antecedent", "left_anti").join(single, "token")
-    return kept.groupBy("antecedent", "confidence").agg(F.min_by("token", F.struct("freq", "token")).alias("pivot"))
+    return _spelled_out(_minimal(rules), classes)
 
 
 def matching_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -256,6 +256,20 @@ def test_mined_rules_are_those_of_brute_force(spark):
     assert got
 
 
+def test_rows_that_repeat_a_long_url(spark):
+    """A url of 40 tokens on 25 rows is one item, not 2^40 combinations; each of its own tokens is a rule."""
+    import time
+
+    long = "http://" + ".".join(f"h{i}a" for i in "abcdefghij") + ".com/" + "/".join(f"p{i}b" for i in "abcdefghijklmnopqrstuvwxyzABC") + "?k=1"
+    rows = [(long, True)] * 25 + [(f"http://good.com/{w}", False) for w in ("news", "day") * 40]
+    frame = spark.createDataFrame(rows, "url string, bad boolean")
+    began = time.time()
+    got = [tuple(r["antecedent"]) for r in url_filter.mine_rules(frame).collect()]
+    assert time.time() - began < 60  # a runaway search takes hours
+    own = spark.createDataFrame([(long,)], "url string").select(url_filter.url_tokens(F.col("url"))).first()[0]
+    assert sorted(got) == sorted((t,) for t in own if t not in ("scheme:http", "host:com"))
+
+
 def test_mined_rules(spark):
     bad = [(f"http://s{i % 5}.casino.com/win/{i}", True) for i in range(60)]
     good = [(f"http://s{i % 5}.news.com/{'win' if i % 2 else 'day'}/{i}", False) for i in range(240)] + [(None, True), ("http://x.com/", None)]
@@ -435,7 +449,7 @@ def test_small_shards_merge_beside_a_large_one(spark):
 
 
 def test_plan_is_that_of_brute_force(spark):
-    """Runs within a tier, cut at the target; due with fanout shards or half the target."""
+    """Runs within a tier, none above the target; due with fanout shards or half the target."""
     target, fanout = 1_000_000, 4
     store = sharding.ShardStore(spark, scratch_path(spark, "s"), target_bytes=target, fanout=fanout)
     rng = np.random.default_rng(4)
@@ -448,7 +462,7 @@ def test_plan_is_that_of_brute_force(spark):
     for own in tiers.values():
         cuts, before = {}, 0
         for n, i in sorted(own):
-            cuts.setdefault(before // target, []).append((n, i))
+            cuts.setdefault(before // (target - max(own)[0]), []).append((n, i))
             before += n
         for run in cuts.values():
             if len(run) >= fanout or (len(run) > 1 and 2 * sum(n for n, _ in run) >= target):
@@ -458,6 +472,14 @@ def test_plan_is_that_of_brute_force(spark):
     for r in plan:
         got.setdefault((r["lane"], r["run"]), set()).add(r["path"])
     assert {frozenset(x) for x in got.values()} == want
+    assert max(sum(sizes[int(p[1:])] for p in run) for run in got.values()) <= target
+    assert any(sum(sizes[int(p[1:])] for p in run) > 0.8 * target for run in got.values())
+
+
+def test_a_store_without_appends(spark):
+    store = sharding.ShardStore(spark, scratch_path(spark, "s"))
+    assert (store.compact_all(), store.expire(), store.versions()) == (0, 0, [])
+    assert store.read().collect() == []
 
 
 def test_store_with_columns_of_its_own_names(spark):
