@@ -42,7 +42,8 @@ def free_name(name: str, taken: list[str]) -> str:
 class ShardStore:
     """Append-only shards of rows with a ``doc_id``, under ``root``.
 
-    Defined cases: an append of no rows commits a version without new shards;
+    Defined cases: a store without appends has version 0 and no rows; an append of no
+    rows commits a version without new shards;
     rows are stored as they come, so nulls, empty or long texts, ties and
     repeated rows are kept; any further columns are stored too,
     also those that only some appends have, under any names; a column of types that
@@ -141,7 +142,9 @@ class ShardStore:
         lanes = max(1, -(-small.count() // WAVE_SHARDS))
         small = small.withColumns({"lane": F.pmod(F.xxhash64("path"), F.lit(lanes)), "tier": self._tier()})
         order = Window.partitionBy("lane", "tier").orderBy("bytes", "first_id", "path")
-        cut = small.withColumn("cut", F.floor((F.sum("bytes").over(order) - F.col("bytes")) / self.target_bytes))
+        # a run begins within a width of the one before, and its last shard has no more than what is left to the target
+        width = F.lit(self.target_bytes) - F.max("bytes").over(Window.partitionBy("lane", "tier"))
+        cut = small.withColumn("cut", F.floor((F.sum("bytes").over(order) - F.col("bytes")) / width))
         whole = Window.partitionBy("lane", "tier", "cut")
         due = (F.count("*").over(whole) >= self.fanout) | ((F.count("*").over(whole) > 1) & (F.sum("bytes").over(whole) * 2 >= self.target_bytes))
         runs = cut.withColumn("due", due).where("due")
@@ -184,10 +187,10 @@ class ShardStore:
             raise
 
     def compact_all(self) -> int:
-        """Rounds of merges until none is due; returns the newest version."""
+        """Rounds of merges until none is due; returns the newest version, 0 of an empty store."""
         while self.compact() is not None:
             pass
-        return self.versions()[-1]
+        return max(self.versions(), default=0)
 
     def expire(self, keep_versions: int = 1) -> int:
         """Delete manifests but the newest ``keep_versions`` and the files only they name."""
@@ -211,7 +214,10 @@ class ShardStore:
         """All rows of a version, with shard, tier, shard_rows and shard_bytes of their shard.
 
         Where a stored column has one of these names, underscores are added to the new one.
+        A store without a version has no rows, and no columns but these.
         """
+        if not self.versions():
+            return self.spark.createDataFrame([], "shard int, tier int, shard_rows long, shard_bytes long")
         shards = self.manifest(version).withColumn("lane", F.lit(0))
         order = Window.partitionBy("lane").orderBy("tier", "first_id", "rows", "path")
         numbered = shards.select(F.col("path").alias("of_path"), F.row_number().over(order).alias("shard"), "tier", F.col("rows").alias("shard_rows"), F.col("bytes").alias("shard_bytes"))
