@@ -139,20 +139,26 @@ def _pieces(placed: DataFrame, block: int) -> DataFrame:
 
 
 def _prepared(docs: DataFrame, weights, share, cap, block) -> tuple[DataFrame, DataFrame]:
+    if cap != int(cap) or cap < 1:
+        raise ValueError("cap must be a whole number of passes: blocks are taken whole")
     sized = materialise(_sized(docs), "mix-sizes")
     targets = materialise(source_targets(sized, weights, share, cap, block), "mix-targets")
     return materialise(_placed(sized, targets), "mix-placed"), targets
 
 
-def mix_spans(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: float = 2.0, block: int = 64, shard_blocks: int = 4096, seed: int = 11) -> DataFrame:
-    """The mix as spans: (out_shard, slot, source, block, doc_id, text_key, start_word, n_words)."""
+def _spans(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: float = 2.0, block: int = 64, shard_blocks: int = 4096, seed: int = 11) -> DataFrame:
     placed, targets = _prepared(docs, weights, share, cap, block)
     slots = slot_plan(targets, block, cap, shard_blocks, seed)
     return slots.join(_pieces(placed, block), ["source_no", "block"]).select(
-        "out_shard", "slot", F.when(~F.col("unnamed"), F.col("source")).alias("source"), "block", "doc_id", "text_key", "start_word", F.col("piece_words").alias("n_words")
+        "out_shard", "slot", F.when(~F.col("unnamed"), F.col("source")).alias("source"), "block", "doc_id", "text_key", "start_word", F.col("piece_words").alias("n_words"), "start", "size"
     )
 
 
+def mix_spans(docs: DataFrame, **options) -> DataFrame:
+    """The mix as spans: (out_shard, slot, source, block, doc_id, text_key, start_word, n_words)."""
+    return _spans(docs, **options).drop("start", "size")
+
+
 def taken_words(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: float = 2.0, block: int = 64, shard_blocks: int = 4096, seed: int = 11) -> DataFrame:
     """Per row its size, its source's size and target, and the words the mix takes of it.
 
@@ -177,6 +183,23 @@ def taken_words(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: flo
     return sized.unionByName(none).select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
 
 
+def _repeated(found: DataFrame, spans: DataFrame, listed: Column, names: dict[str, str]) -> DataFrame:
+    """Rows of repeated keys with their spans.
+
+    Rows of a key follow each other in the stream, so the place of a span's row tells
+    which of them it is. Equal rows are one with a count until they get their numbers.
+    """
+    columns = list(names.values())
+    whole = F.to_json(F.struct(*(c for name, c in names.items() if name not in ("doc_id", "source", "text")), F.lit(0)))
+    kinds = found.withColumn("whole", whole).groupBy("key", "whole").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("key").orderBy("whole").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = kinds.withColumn("end", F.sum("n").over(order)).select("key", "whole", F.explode(F.sequence(F.col("end") - F.col("n"), F.col("end") - 1)).alias("copy"))
+    firsts = spans.groupBy("key").agg(F.min("start").alias("first"))
+    copies = spans.join(firsts, "key").withColumn("copy", F.expr("(start - first) div size")).groupBy("key", "copy").agg(listed)
+    rows = found.withColumn("whole", whole).groupBy("key", "whole").agg(F.first(F.struct(*columns)).alias("row"))
+    return copies.join(numbered, ["key", "copy"]).join(rows, ["key", "whole"]).select("row.*", "key", "spans")
+
+
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mixed texts with the columns of ``docs``: one row per span that the mix takes.
 
@@ -184,19 +207,24 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     passes repeat rows. Rows come by output shard and slot: a partition holds whole
     output shards in order, so files written from it keep the shards' composition.
 
-    Defined cases: those of :func:`taken_words`; texts without a word give no row, of
-    rows that repeat each gives its own spans once, columns may have any names, and an
-    empty table gives an empty result.
+    Defined cases: those of :func:`taken_words`; texts without a word give no row; of
+    rows that repeat doc_id, source and text each gives its own spans, with its own other
+    columns, by the order of these as JSON; columns may have any names, and an empty
+    table gives an empty result.
     """
-    spans = mix_spans(docs, **options)
-    key = F.struct("doc_id", "source", "text_key").alias("key")
-    spans = spans.groupBy(key).agg(F.collect_list(F.struct("start_word", "n_words", "out_shard", "slot")).alias("spans"))
+    spans = _spans(docs, **options).withColumn("key", F.struct("doc_id", "source", "text_key"))
     own, names = coded(docs)
     text = names["text"]
     found = own.withColumn("key", F.struct(F.col(names["doc_id"]).alias("doc_id"), F.col(names["source"]).cast("string").alias("source"), F.xxhash64(text).alias("text_key")))
-    repeated = not found.groupBy("key").count().where("count > 1").isEmpty()
-    found = found.join(spans, "key")
-    found = found.dropDuplicates(["key"]) if repeated else found  # rows that repeat share their spans
+    several = materialise(found.groupBy("key").count().where("count > 1").select("key"), "mix-repeated")
+    listed = F.collect_list(F.struct("start_word", "n_words", "out_shard", "slot")).alias("spans")
+    if several.isEmpty():
+        found = found.join(spans.groupBy("key").agg(listed), "key")
+    else:
+        spans = materialise(spans, "mix-spans")
+        several = sized_keys(several)
+        once = found.join(several, "key", "left_anti").join(spans.groupBy("key").agg(listed), "key")
+        found = once.unionByName(_repeated(found.join(several, "key", "left_semi"), spans.join(several, "key", "left_semi"), listed, names))
     tokens = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     piece = lambda t, s: F.rtrim(F.array_join(F.slice(t, s["start_word"].cast("int") + 1, s["n_words"].cast("int")), ""), F.lit(" \t\n\x0b\x0c\r"))
     cut = let(tokens, lambda t: F.transform("spans", lambda s: F.struct(s["out_shard"].alias("out_shard"), s["slot"].alias("slot"), piece(t, s).alias("text"))))

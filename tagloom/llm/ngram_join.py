@@ -317,8 +317,9 @@ def _classes(docs: DataFrame, gram: int, threshold: float, target_recall: float,
 def drop_near_duplicates(docs: DataFrame, gram: int = 5, threshold: float = 0.8, target_recall: float = 0.999, block: int = 512, seed: int = 7) -> DataFrame:
     """Of each class of near duplicates one row stays: that of least doc_id, null last.
 
-    Of several texts of that id, one by a hash of the text; of rows that repeat it
-    exactly, one. All columns of ``docs`` are returned, whatever their names.
+    Of several texts of that id, one by a hash of the text; of rows that repeat id and
+    text, the first by the other columns as JSON. All columns of ``docs`` are returned,
+    whatever their names.
 
     Defined cases: rows without a word (null and empty texts) stay, all of them;
     rows with a null doc_id are rows like others; very long texts are compared
@@ -336,5 +337,7 @@ def drop_near_duplicates(docs: DataFrame, gram: int = 5, threshold: float = 0.8,
     kept = own.join(sized(decided), "key", "left_anti")
     repeated = decided.where("stays")
     if not repeated.isEmpty():
-        kept = kept.unionByName(own.join(sized(repeated.select("key")), "key", "left_semi").dropDuplicates(["key"]))
+        others = F.to_json(F.struct(*(c for name, c in names.items() if name not in ("doc_id", "text")), F.lit(0)))
+        first = own.join(sized(repeated.select("key")), "key", "left_semi").groupBy("key").agg(F.min_by(F.struct(*names.values()), others).alias("row"))
+        kept = kept.unionByName(first.select("row.*", "key"))
     return decoded(kept, names)

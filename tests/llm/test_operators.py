@@ -419,6 +419,34 @@ def test_columns_of_any_name_pass_through(spark):
         assert {tuple(r[n] for n in extra) for r in found} == {tuple(range(len(extra)))}
 
 
+def test_rows_that_repeat_keep_their_own_columns(spark):
+    """Rows of one doc_id and text: each gives its own spans in the mix; of near duplicates the first by its other columns stays."""
+    text = " ".join(f"w{i}" for i in range(640))
+    rows = [(1, text, "a", x, {"k": y}) for x, y in (("X", 1), ("Y", 2), ("Y", 2), ("Z", 3))] + [(2, text + " more", "a", "V", None), (None, "other " * 100, "a", "U", None), (None, "other " * 100, "a", "T", None)]
+    schema = "doc_id long, text string, source string, extra string, m map<string,int>"
+    for parts in (1, 3):
+        frame = spark.createDataFrame(rows, schema).repartition(parts)
+        mixed = mixing.mix_documents(frame, weights=(1,), share=1.0)
+        words = Counter()
+        for r in mixed.collect():
+            words[r["doc_id"], r["extra"], r["m"]["k"] if r["m"] else None] += len(r["text"].split())
+        assert words == {(1, "X", 1): 640, (1, "Y", 2): 1280, (1, "Z", 3): 640, (2, "V", None): 641, (None, "U", None): 100, (None, "T", None): 100}
+        kept = ngram_join.drop_near_duplicates(frame)
+        assert sorted((r["doc_id"] or 0, r["extra"], r["m"]["k"] if r["m"] else 0) for r in kept.collect()) == [(0, "T", 0), (1, "X", 1)]
+
+
+def test_a_cap_is_a_whole_number(spark, docs):
+    with pytest.raises(ValueError, match="whole number"):
+        mixing.mix_documents(docs, cap=1.5)
+
+
+def test_stages_on_empty_tables(spark, none):
+    bench = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
+    for result in (quality_rules.keep_quality(none), ngram_join.drop_near_duplicates(none), decontaminate.drop_leaks(none, bench), mixing.mix_documents(none), line_dedup.dedup_lines(none)):
+        assert result.columns == none.columns
+        assert result.collect() == []
+
+
 # --------------------------------------------------------------------- op 7
 
 
