@@ -250,6 +250,11 @@ def is_number(text: Column, kind: str) -> Column:
     return text.try_cast(kind).isNotNull()
 
 
+def lacks(text: Column, part: str) -> Column:
+    """The text does not contain ``part``."""
+    return ~F.contains(text, F.lit(part))
+
+
 def in_set(value: Column, allowed: tuple[str, ...], wildcard: str = "ALL") -> Column:
     return F.lit(True) if wildcard in allowed else value.isin(*allowed)
 

@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions import exprs as X
-from tagloom.sources.scratch import written
 
 #: Tables of at most so many rows are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Rows of a group up to which Spark limits groups before the shuffle (its default), and parts of a group beyond.
+GROUP_LIMIT, SALTS = 1000, 64
+#: Elements of one array, about; a longer list is several numbered ones.
+CHUNK = 100_000
 
 
 def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -79,11 +79,40 @@ def sum_merge(rows: DataFrame, keys: Sequence[str], value: str = "weight", digit
     return rows.groupBy(*keys).agg(F.round(F.sum(value), digits).alias(value))
 
 
+def _ranked(rows: DataFrame, group: Sequence[str], count: int, order: Sequence[Column]) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return rows.withColumn("__rank", place).where(F.col("__rank") <= count).drop("__rank")
+
+
+def salted_top_k(rows: DataFrame, group: Sequence[str], count: int, order: Sequence[Column], tie: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """The first ``count`` rows of each of ``salts`` parts of a group: among them are its first ``count``."""
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*tie), F.lit(salts)))
+    return _ranked(salted, [*group, "__salt"], count, order).drop("__salt")
+
+
 def top_k(rows: DataFrame, group: Sequence[str], count: int, value: str = "weight", tie: Sequence[str] = ("tag",), ascending: bool = False) -> DataFrame:
-    """The ``count`` rows of largest value in each group; ties by id."""
-    first = F.col(value).asc() if ascending else F.col(value).desc()
-    order = Window.partitionBy(*group).orderBy(first, *tie)
-    return rows.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= count).drop("__rank")
+    """The ``count`` rows of largest value in each group; ties by id.
+
+    Up to ``GROUP_LIMIT`` rows Spark cuts groups before it shuffles them. Above, a group
+    is cut in parts first, so that a hot one does not meet in one task whole.
+    """
+    order = [F.col(value).asc() if ascending else F.col(value).desc(), *map(F.col, tie)]
+    return _ranked(rows if count <= GROUP_LIMIT else salted_top_k(rows, group, count, order, tie), group, count, order)
+
+
+def enrich(rows: DataFrame, table: DataFrame, key: str | Sequence[str], required: bool = False) -> DataFrame:
+    """``rows`` with the columns of their key in ``table``: null where it has none, or without such rows if ``required``."""
+    return rows.join(table, key, "inner" if required else "left")
+
+
+def above(rows: DataFrame, least: float, value: str = "weight") -> DataFrame:
+    """Rows of a value above ``least``."""
+    return rows.where(F.col(value) > least)
+
+
+def supported(rows: DataFrame, keys: Sequence[str], least: int, count: Column | None = None) -> DataFrame:
+    """(keys, n) of keys with more than ``least`` rows, or a larger sum of ``count``."""
+    return above(rows.groupBy(*keys).agg((F.count("*") if count is None else F.sum(count)).alias("n")), least, "n")
 
 
 def max_norm(rows: DataFrame, group: Sequence[str], value: str = "weight", times: float = 1.0, hot: bool = False) -> DataFrame:
@@ -128,14 +157,39 @@ def add_maps(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
     return sum_merge(left.unionByName(right), keys)
 
 
-def flat_set(rows: DataFrame, key: str, values: str) -> DataFrame:
-    """Distinct elements of all arrays of a key, sorted."""
-    return rows.select(key, F.explode(values).alias("v")).groupBy(key).agg(F.array_sort(F.collect_set("v")).alias(values))
+def chunk_number(rows: DataFrame, key: str, element: Column, size: Column, chunk: int = CHUNK) -> DataFrame:
+    """``rows`` with ``chunk``, from 0: elements of a key dealt by hash to as many chunks as its sizes fill.
 
+    The sizes of a key are aggregated first and joined, where AQE splits a hot key's rows;
+    then each chunk is a group of its own, so that those of a hot key go to many tasks.
+    """
+    totals = rows.groupBy(F.col(key).alias("__key")).agg(F.ceil(F.sum(size) / chunk).cast("int").alias("__chunks"))
+    numbered = rows.join(totals, F.col(key).eqNullSafe(F.col("__key")))
+    return numbered.withColumn("chunk", F.pmod(F.xxhash64(element), F.col("__chunks")).cast("int")).drop("__chunks", "__key").repartition(key, "chunk")
+
+
+def flat_set(rows: DataFrame, key: str, values: str, chunk: int = CHUNK) -> DataFrame:
+    """(key, chunk, values): distinct elements of all arrays of a key, sorted.
+
+    A key of more than ``chunk`` elements has several numbered rows of about that many.
+    """
+    each = rows.select(key, F.explode(values).alias("__v")).distinct()
+    numbered = chunk_number(each, key, F.col("__v"), F.lit(1), chunk)
+    return numbered.groupBy(key, "chunk").agg(F.array_sort(F.collect_list("__v")).alias(values))
 
-def flat_list(rows: DataFrame, key: str, values: str) -> DataFrame:
-    """All elements of all arrays of a key, sorted."""
-    return rows.groupBy(key).agg(F.array_sort(F.flatten(F.collect_list(values))).alias(values))
+
+def flat_list(rows: DataFrame, key: str, values: str, chunk: int = CHUNK) -> DataFrame:
+    """(key, chunk, values): all elements of all arrays of a key, sorted, in numbered rows as of :func:`flat_set`.
+
+    Equal elements are counted before they meet, and a count above ``chunk`` is cut.
+    """
+    counted = rows.select(key, F.explode(values).alias("__v")).groupBy(key, "__v").agg(F.count("*").alias("__n"))
+    piece = F.explode(F.sequence(F.lit(0), F.expr(f"(__n - 1) div {chunk}"))).alias("__piece")
+    pieces = counted.select(key, "__v", "__n", piece).select(key, "__v", "__piece", F.least(F.lit(chunk), F.col("__n") - F.col("__piece") * chunk).cast("int").alias("__n"))
+    numbered = chunk_number(pieces, key, F.struct("__v", "__piece"), F.col("__n"), chunk)
+    runs = F.array_sort(F.collect_list(F.struct("__v", "__n")))
+    lists = numbered.groupBy(key, "chunk").agg(runs.alias("__runs"))
+    return lists.select(key, "chunk", F.flatten(F.transform("__runs", lambda x: F.array_repeat(x["__v"], x["__n"]))).alias(values))
 
 
 def ratio_of_sums(rows: DataFrame, keys: Sequence[str], top: str, bottom: str, top_min: int, bottom_min: int, name: str = "ctr") -> DataFrame:
@@ -165,7 +219,7 @@ def list_profile(lengths: DataFrame, length: str = "length", buckets: int = 10)
     return placed.agg(F.max("keys").alias("keys"), F.max("mean_length").alias("mean_length"), (F.max("mean_length") / 5).alias("interval"), *counts)
 
 
-# ------------------------------------------------------------ pairs and cosine
+# ----------------------------------------------------------------------- pairs
 
 
 def shared_tag_pairs(rows: DataFrame, limit: int, with_tags: bool = False) -> DataFrame:
@@ -180,81 +234,6 @@ def shared_tag_pairs(rows: DataFrame, limit: int, with_tags: bool = False) -> Da
     return pairs.groupBy("item", "other").agg(F.round(F.sum(F.col("weight") * F.col("other_weight")), 9).alias("sim"), F.count("*").alias("shared"), *([F.array_sort(F.collect_set("tag")).alias("tags")] if with_tags else []))
 
 
-def _vectors(rows: DataFrame, key: str, block: int) -> tuple[DataFrame, int]:
-    """(key, idx, val, block) with a row per vector, written to the shared folder, and the number of blocks."""
-    packed = rows.groupBy(key).agg(F.collect_list(F.struct("idx", "val")).alias("v")).select(key, F.col("v.idx").alias("idx"), F.col("v.val").alias("val"))
-    packed = written(packed, "vectors")
-    blocks = max(1, -(-packed.count() // block))
-    return packed.withColumn(f"{key}_block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")), blocks
-
-
-def _block_cosines(left: pa.Table, right: pa.Table, key: str, other: str, count: int | None, least: float | None, same: bool, chunk: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place in ``left``, place in ``right``, cosine) of the pairs of two blocks that share a feature."""
-    sides = []
-    for table in (left, right):
-        lists, values = table.column("idx").combine_chunks(), table.column("val").combine_chunks()
-        size = np.diff(lists.offsets.to_numpy())
-        sides.append((np.repeat(np.arange(len(size)), size), lists.flatten(), values.flatten().to_numpy(zero_copy_only=False), len(size)))
-    codes = pc.dictionary_encode(pa.concat_arrays([sides[0][1], sides[1][1]])).indices.to_numpy(zero_copy_only=False)
-    split = len(sides[0][0])
-    features = (codes[:split], codes[split:])
-    norm = [np.sqrt(np.bincount(row, value * value, n)) for row, _, value, n in sides]
-    shape = (sides[0][3], sides[1][3])
-    dot, shared = np.zeros(shape), np.zeros(shape, np.float32)
-    for begin in range(0, int(codes.max()) + 1 if len(codes) else 0, chunk):
-        dense = []
-        for (row, _, value, n), own in zip(sides, features, strict=True):
-            some = (own >= begin) & (own < begin + chunk)
-            full, flag = np.zeros((n, chunk)), np.zeros((n, chunk), np.float32)
-            np.add.at(full, (row[some], own[some] - begin), value[some])
-            flag[row[some], own[some] - begin] = 1
-            dense.append((full, flag))
-        dot += dense[0][0] @ dense[1][0].T
-        shared += dense[0][1] @ dense[1][1].T
-    scale = norm[0][:, None] * norm[1][None, :]
-    cosine = np.round(np.divide(dot, scale, out=np.full(shape, -np.inf), where=(scale > 0) & (shared > 0)), 9)
-    if not same:
-        cosine[left.column(key).to_numpy()[:, None] == right.column(other).to_numpy()[None, :]] = -np.inf
-    if least is not None:
-        cosine[cosine <= least] = -np.inf
-    if count is None or count >= shape[1]:
-        found = np.nonzero(cosine > -np.inf)
-        return *found, cosine[found]
-    best = np.argsort(-cosine, axis=1, kind="stable")[:, :count]  # ``right`` is in the order of ids, which settles ties
-    row = np.repeat(np.arange(shape[0]), count)
-    value = cosine[row, best.ravel()]
-    kept = value > -np.inf
-    return row[kept], best.ravel()[kept], value[kept]
-
-
-def cosine_pairs(left: DataFrame, right: DataFrame, count: int | None = None, min_cosine: float | None = None, same: bool = True, block: int = 2048) -> DataFrame:
-    """(item, other, cosine) of (item, idx, val) and (other, idx, val) vectors that share a feature.
-
-    With a ``count`` only an item's largest, ties to the smaller id; with ``min_cosine``
-    only those above it; unless ``same``, none with itself. Vectors are packed into rows
-    and dealt evenly to blocks by id, and each pair of blocks is one small matrix product
-    that returns at most ``count`` pairs an item: no row per pair and feature is made, and
-    a feature that all vectors have does not meet in one task. Vectors of length 0 have no
-    cosine. A job that packs and counts the vectors runs at once.
-    """
-    own, n_own = _vectors(left.select("item", "idx", "val"), "item", block)
-    others, n_others = _vectors(right.select("other", "idx", "val"), "other", block)
-    own = own.withColumn("other_block", F.explode(F.sequence(F.lit(0), F.lit(n_others - 1))))
-    others = others.withColumn("item_block", F.explode(F.sequence(F.lit(0), F.lit(n_own - 1))))
-
-    def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        a, b = a.combine_chunks(), b.sort_by("other").combine_chunks()
-        if a.num_rows and b.num_rows:
-            at, to, cosine = _block_cosines(a, b, "item", "other", count, min_cosine, same)
-        else:
-            at, to, cosine = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        return pa.table({"item": a.column("item").take(pa.array(at)), "other": b.column("other").take(pa.array(to)), "cosine": pa.array(cosine, pa.float64())})
-
-    kinds = {f.name: f.dataType.simpleString() for f in [*left.schema, *right.schema]}
-    pairs = own.groupBy("item_block", "other_block").cogroup(others.groupBy("item_block", "other_block")).applyInArrow(run, f"item {kinds['item']}, other {kinds['other']}, cosine double")
-    return pairs if count is None else top_k(pairs, ["item"], count, value="cosine", tie=("other",))
-
-
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

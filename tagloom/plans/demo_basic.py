@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.functions import exprs as X
+from tagloom.operators import cosine as C
 from tagloom.operators import frames as O
+from tagloom.plans import items as I
 from tagloom.plans import tags as T
+from tagloom.plans import users as U
 from tagloom.plans import views as V
 from tagloom.plans.registry import query
 from tagloom.sources import payloads as K
@@ -224,7 +227,7 @@ def p_validnum(spark, d):
 
 @query("SELECT event_id FROM events WHERE event_type <> 'error'")
 def p_exclude(spark, d):
-    return V.table(spark, d, "events").where(~F.contains("event_type", F.lit("err"))).select("event_id")
+    return V.table(spark, d, "events").where(X.lacks(F.col("event_type"), "err")).select("event_id")
 
 
 @query("SELECT event_id, strftime(ts, '%w') AS zone FROM events WHERE strftime(ts, '%w') IN ('0', '6')")
@@ -254,9 +257,7 @@ def fresh_items(spark, d):
     days = p.select(F.col("p_type").alias("key"), F.length("p_type").alias("days")).union(p.where("p_brand LIKE 'Brand#1%'").select(F.translate("p_brand", "#", "-"), F.lit(20))).distinct()
     life = F.when(F.col("item") % 3 == 0, "P").when(F.col("item") % 3 == 1, "S").otherwise("N")
     rows = p.select("item", life.alias("lifetime"), F.concat(F.translate("p_brand", "#", "-"), F.lit("#more")).alias("first"), F.col("p_type").alias("second"), F.date_sub(F.lit("2024-01-31").cast("date"), F.col("p_size") - 1).alias("published"))
-    from tagloom.plans.items import fresh_in_class
-
-    return fresh_in_class(rows, days, F.lit("2024-01-31").cast("date"), ("P", "S", "N")).select("item", F.col("lifetime").alias("life"))
+    return I.fresh_in_class(rows, days, F.lit("2024-01-31").cast("date"), ("P", "S", "N")).select("item", F.col("lifetime").alias("life"))
 
 
 @query(FRESH + "SELECT item, life FROM fresh")
@@ -282,12 +283,13 @@ def p_eligible(spark, d):
 
 @query("SELECT item, day FROM plays, today WHERE date_diff('day', day, as_of) < 10")
 def p_fresh(spark, d):
-    return V.with_today(V.plays(spark, d), spark, d).where(F.datediff("as_of", "day") < 10).select("item", "day")
+    rows = V.with_today(V.plays(spark, d), spark, d).withColumnRenamed("day", "published")
+    return I.fresh_items(rows, F.col("as_of"), 10).select("item", F.col("published").alias("day"))
 
 
-@query("SELECT event_id, value FROM events WHERE value > 50")
+@query("SELECT item FROM ctr GROUP BY item HAVING sum(exposure) > 4")
 def p_hot(spark, d):
-    return V.table(spark, d, "events").where(F.col("value") > 50).select("event_id", "value")
+    return I.hot_items(V.exposures(spark, d).withColumn("exposure", F.col("exposure").cast("int")), 4, "sum")
 
 
 @query("SELECT item FROM parts WHERE p_type <> '' AND strpos(p_brand, '#1') = 0")
@@ -298,12 +300,12 @@ def p_singlecat(spark, d):
 
 @query("SELECT item, count(*) AS n FROM plays GROUP BY item HAVING count(*) > 20")
 def p_minsupport(spark, d):
-    return V.plays(spark, d).groupBy("item").agg(F.count("*").alias("n")).where("n > 20")
+    return O.supported(V.plays(spark, d), ["item"], 20)
 
 
 @query("SELECT item, tag, round(weight, 9) AS weight FROM merged WHERE weight > 0.1")
 def p_minweight(spark, d):
-    return _rounded(V.merged(spark, d).where("weight > 0.1"))
+    return _rounded(O.above(V.merged(spark, d), 0.1))
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
@@ -358,18 +360,18 @@ def j_full(spark, d):
 
 @query('SELECT "user", item, tag, round(percent * weight, 9) AS weight FROM month JOIN merged USING (item)')
 def j_inner(spark, d):
-    return V.month(spark, d).join(V.merged(spark, d), "item").select("user", "item", "tag", F.round(F.col("percent") * F.col("weight"), 9).alias("weight"))
+    return _rounded(U.play_tags(V.month(spark, d).select("user", "item", "percent"), V.merged(spark, d)).select("user", "item", "tag", "weight"))
 
 
 @query('SELECT "user", month.item, p_name FROM month LEFT JOIN (SELECT * FROM parts WHERE p_size > 10) p ON month.item = p.item WHERE p_name IS NOT NULL')
 def j_leftnn(spark, d):
     named = V.parts(spark, d).where("p_size > 10").select("item", "p_name")
-    return V.month(spark, d).join(named, "item", "left").where(F.col("p_name").isNotNull()).select("user", "item", "p_name")
+    return O.enrich(V.month(spark, d), named, "item", required=True).select("user", "item", "p_name")
 
 
 @query('SELECT "user", month.item, p_name FROM month LEFT JOIN (SELECT * FROM parts WHERE p_size > 10) p ON month.item = p.item')
 def j_left(spark, d):
-    return V.month(spark, d).join(V.parts(spark, d).where("p_size > 10").select("item", "p_name"), "item", "left").select("user", "item", "p_name")
+    return O.enrich(V.month(spark, d), V.parts(spark, d).where("p_size > 10").select("item", "p_name"), "item").select("user", "item", "p_name")
 
 
 @query(
@@ -445,7 +447,7 @@ def item_vectors(spark, d):
 
 @query(COSINE + "SELECT item, other, round(cosine, 9) AS cosine FROM cos")
 def j_bnlj(spark, d):
-    return _rounded(O.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d)), "cosine")
+    return _rounded(C.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d)), "cosine")
 
 
 @query("SELECT channel, item, tag FROM ch WHERE tag NOT IN (SELECT split_part(p_name, ' ', 1) FROM parts WHERE p_size = 1)")
@@ -497,10 +499,10 @@ def a_mapadd(spark, d):
     return _rounded(O.add_maps(V.merged(spark, d), T.query_tags(V.query_counts(spark, d)), ["item", "tag"]))
 
 
-@query("SELECT collection, string_agg(tag, ',' ORDER BY tag) AS tags FROM (SELECT DISTINCT collection, tag FROM members JOIN merged USING (item)) GROUP BY collection")
+@query("SELECT collection, 0 AS chunk, string_agg(tag, ',' ORDER BY tag) AS tags FROM (SELECT DISTINCT collection, tag FROM members JOIN merged USING (item)) GROUP BY collection")
 def a_setflat(spark, d):
     rows = V.members(spark, d).join(V.merged(spark, d).groupBy("item").agg(F.collect_list("tag").alias("tags")), "item")
-    return O.flat_set(rows, "collection", "tags").select("collection", F.array_join("tags", ",").alias("tags"))
+    return O.flat_set(rows, "collection", "tags").select("collection", "chunk", F.array_join("tags", ",").alias("tags"))
 
 
 @query("SELECT collection, tag, round(sum(weight), 9) AS weight FROM members JOIN merged USING (item) GROUP BY collection, tag")
@@ -508,10 +510,10 @@ def a_vecsum(spark, d):
     return _rounded(O.sum_merge(V.members(spark, d).join(V.merged(spark, d), "item"), ["collection", "tag"]))
 
 
-@query("SELECT collection, count(*) AS n, md5(string_agg(tag, ',' ORDER BY tag)) AS digest FROM members JOIN merged USING (item) GROUP BY collection")
+@query("SELECT collection, 0 AS chunk, count(*) AS n, md5(string_agg(tag, ',' ORDER BY tag)) AS digest FROM members JOIN merged USING (item) GROUP BY collection")
 def a_concatkey(spark, d):
     rows = V.members(spark, d).join(V.merged(spark, d).groupBy("item").agg(F.collect_list("tag").alias("tags")), "item")
-    return O.flat_list(rows, "collection", "tags").select("collection", F.size("tags").cast("long").alias("n"), F.md5(F.array_join("tags", ",")).alias("digest"))
+    return O.flat_list(rows, "collection", "tags").select("collection", "chunk", F.size("tags").cast("long").alias("n"), F.md5(F.array_join("tags", ",")).alias("digest"))
 
 
 @query('SELECT item, sum(click)::BIGINT AS click, sum(exposure)::BIGINT AS exposure, round(sum(click) / sum(exposure), 9) AS ctr FROM ctr GROUP BY item HAVING (sum(click) > 2 OR sum(exposure) > 2) AND sum(exposure) > 0 AND sum(click) <= sum(exposure)')
@@ -577,13 +579,12 @@ def t_arrtopk(spark, d):
 
 @query(COSINE + "SELECT item, other, round(cosine, 9) AS cosine FROM cos QUALIFY row_number() OVER (PARTITION BY item ORDER BY cosine DESC, other) = 1")
 def t_argmax(spark, d):
-    return _rounded(O.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d), count=1), "cosine")
+    return _rounded(C.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d), count=1), "cosine")
 
 
 @query(COSINE + "SELECT item, other, round(cosine, 9) AS cosine FROM cos WHERE cosine > 0.1 QUALIFY row_number() OVER (PARTITION BY item ORDER BY cosine DESC, other) <= 11")
 def t_top11(spark, d):
-    near = O.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d)).where("cosine > 0.1")
-    return _rounded(O.top_k(near, ["item"], 11, value="cosine", tie=("other",)), "cosine")
+    return _rounded(C.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d), count=11, min_cosine=0.1), "cosine")
 
 
 @query("SELECT tag, item, round(weight, 9) AS weight FROM posted ORDER BY tag, weight DESC, item")

@@ -289,13 +289,13 @@ def m_userday(spark, d):
 @query(
     """
     , v AS (SELECT "user", tag, round(sum(percent * weight), 9) AS weight FROM month JOIN merged USING (item) GROUP BY 1, 2)
-    SELECT "user", (SELECT string_agg(item::VARCHAR, ',' ORDER BY item) FROM (SELECT DISTINCT item FROM month m WHERE m."user" = v."user")) AS items,
+    SELECT "user", 0 AS chunk, (SELECT string_agg(item::VARCHAR, ',' ORDER BY item) FROM (SELECT DISTINCT item FROM month m WHERE m."user" = v."user")) AS items,
            string_agg(tag || ':' || printf('%.4f', weight), ',' ORDER BY tag) AS tags FROM v GROUP BY "user"
     """
 )
 def m_userdayvec(spark, d):
     vectors = U.daily_vectors(V.month(spark, d), V.merged(spark, d))
-    return vectors.select("user", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"), X.format_list(F.col("tags")).alias("tags"))
+    return vectors.select("user", "chunk", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"), X.format_list(F.col("tags")).alias("tags"))
 
 
 @query('SELECT "user", tag, round(weight, 9) AS weight FROM usermonth')

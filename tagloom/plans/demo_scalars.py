@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.functions import exprs as X
+from tagloom.operators import cosine as C
 from tagloom.operators import frames as O
 from tagloom.plans import tags as T
 from tagloom.plans import views as V
@@ -154,7 +155,7 @@ def f_scale(spark, d):
 
 @query(COSINE + "SELECT item, other, round(cosine, 9) AS cosine FROM cos WHERE cosine > 0.3")
 def f_cosine(spark, d):
-    return _rounded(O.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d)).where("cosine > 0.3"), "cosine")
+    return _rounded(C.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d), min_cosine=0.3), "cosine")
 
 
 @query(

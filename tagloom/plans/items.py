@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import exprs as X
+from tagloom.operators import cosine as C
 from tagloom.operators import frames as O
 
 
 def click_rates(log: DataFrame, click_min: int = 100, exposure_min: int = 100, zones: Sequence[str] = ("ALL",), excluded: str = "insert") -> DataFrame:
     """(item, zone, click, exposure, ctr) of a log of texts (item, zone, exposure, click, flag)."""
-    valid = log.where(X.is_number(F.col("exposure"), "int") & X.is_number(F.col("click"), "int") & ~F.contains("flag", F.lit(excluded)) & X.in_set(F.col("zone"), tuple(zones)))
+    valid = log.where(X.is_number(F.col("exposure"), "int") & X.is_number(F.col("click"), "int") & X.lacks(F.col("flag"), excluded) & X.in_set(F.col("zone"), tuple(zones)))
     typed = valid.select("item", "zone", F.col("click").cast("int").alias("click"), F.col("exposure").cast("int").alias("exposure"))
     return O.ratio_of_sums(typed, ["item", "zone"], "click", "exposure", click_min, exposure_min)
 
@@ -52,22 +53,27 @@ def similar_items(item_tags: DataFrame, pool: DataFrame, postings_limit: int = 1
 def similar_items_ctr(similar: DataFrame, ctr: DataFrame, share: float = 0.1, count: int = 40) -> DataFrame:
     """Similar items weighed by the neighbour's click rate, else ``share`` of the similarity."""
     per_item = ctr.groupBy(F.col("item").alias("other")).agg(F.max("ctr").alias("ctr"))
-    weighed = similar.join(per_item, "other", "left").select(
+    weighed = O.enrich(similar, per_item, "other").select(
         "item", "other", F.round(F.coalesce("ctr", F.col("sim") * share), 9).alias("weight"), F.when(F.col("ctr").isNotNull(), "ctr").otherwise("sim").alias("weight_type")
     )
     return O.top_k(weighed, ["item"], count, tie=("other",))
 
 
-def cold_lists(lists: DataFrame, exposures: DataFrame, published: DataFrame, as_of: Column, exposure_max: int, days: int, hot_scope: str = "row") -> DataFrame:
-    """Inverted lists without items that are hot or older than ``days``.
-
-    An item is hot if a row ("row") or the sum of its rows ("sum") has more than
-    ``exposure_max`` exposures.
-    """
+def hot_items(exposures: DataFrame, exposure_max: int, hot_scope: str = "row") -> DataFrame:
+    """Items of which a row ("row") or the sum of the rows ("sum") has more than ``exposure_max`` exposures."""
     counted = exposures if hot_scope == "row" else exposures.groupBy("item").agg(F.sum("exposure").alias("exposure"))
-    hot = counted.where(F.col("exposure") > exposure_max)
-    fresh = published.where(F.datediff(as_of, F.col("published")) < days)
-    return O.restrict(O.exclude(lists, hot, "item"), fresh, "item")
+    return O.above(counted, exposure_max, "exposure").select("item").distinct()
+
+
+def fresh_items(published: DataFrame, as_of: Column, days: int) -> DataFrame:
+    """Rows of ``published`` that are younger than ``days`` at ``as_of``."""
+    return published.where(F.datediff(as_of, F.col("published")) < days)
+
+
+def cold_lists(lists: DataFrame, exposures: DataFrame, published: DataFrame, as_of: Column, exposure_max: int, days: int, hot_scope: str = "row") -> DataFrame:
+    """Inverted lists without items that are hot or older than ``days``."""
+    cold = O.exclude(lists, hot_items(exposures, exposure_max, hot_scope), "item")
+    return O.restrict(cold, fresh_items(published, as_of, days), "item")
 
 
 def best_collection(items: DataFrame, collections: DataFrame) -> DataFrame:
@@ -75,18 +81,18 @@ def best_collection(items: DataFrame, collections: DataFrame) -> DataFrame:
 
     Items that share no feature with any collection have no row.
     """
-    return O.cosine_pairs(items, collections, count=1)
+    return C.cosine_pairs(items, collections, count=1)
 
 
 def nearest_collections(item_vectors: DataFrame, members: DataFrame, min_cosine: float = 0.1, count: int = 11) -> DataFrame:
     """Collections as sums of their items' vectors; per item the nearest."""
     sums = members.join(item_vectors, "item").groupBy(F.col("collection").alias("other"), "idx").agg(F.round(F.sum("val"), 9).alias("val"))
-    return O.cosine_pairs(item_vectors, sums, count, min_cosine)
+    return C.cosine_pairs(item_vectors, sums, count, min_cosine)
 
 
 def nearest_items(item_vectors: DataFrame, sample: DataFrame, min_cosine: float = 0.1, count: int = 11) -> DataFrame:
-    """Per item the nearest of the sampled items (item, idx, val)."""
-    return O.cosine_pairs(item_vectors, sample.withColumnRenamed("item", "other"), count, min_cosine, same=False)
+    """Per item the nearest of the sampled items (item, idx, val); made for dense vectors."""
+    return C.cosine_pairs(item_vectors, sample.withColumnRenamed("item", "other"), count, min_cosine, same=False, centres=True)
 
 
 def item_meta_lines(items: DataFrame, pool: DataFrame, content: DataFrame, query: DataFrame, columns: dict[str, int], width: int) -> DataFrame:

@@ -25,7 +25,7 @@ def best_items_per_tag(wanted: DataFrame, item_tags: DataFrame, titles: DataFram
     """(tag, item, title, weight) of wanted tags: the items on which they weigh most."""
     rows = O.top_k(item_tags, ["item"], per_item)
     kept = O.top_k(O.restrict(rows, wanted, "tag"), ["tag"], per_tag, tie=("item",))
-    return kept.join(titles, "item", "left").orderBy("tag", F.desc("weight"), "item")
+    return O.enrich(kept, titles, "item").orderBy("tag", F.desc("weight"), "item")
 
 
 def tags_per_item_histogram(item_tags: DataFrame) -> DataFrame:
@@ -38,4 +38,4 @@ def wanted_tag_items(wanted: DataFrame, item_tag_lists: DataFrame, titles: DataF
     """(tag, rank, item, title, weight) of wanted tags found in the items' tag arrays."""
     rows = item_tag_lists.select("item", F.explode("values").alias("v")).select("item", F.col("v.id").alias("tag"), F.col("v.weight").alias("weight"))
     kept = O.top_k(O.restrict(rows, wanted, "tag"), ["tag"], count, tie=("item",))
-    return kept.join(titles, "item", "left").orderBy("tag", F.desc("weight"), "item")
+    return O.enrich(kept, titles, "item").orderBy("tag", F.desc("weight"), "item")

@@ -75,7 +75,7 @@ def merge_l2(weighted: DataFrame) -> DataFrame:
 def final_item_tags(merged: DataFrame, durations: DataFrame, count: int = 100) -> DataFrame:
     """(item, tag, weight, duration), the largest ``count``; an unknown duration is 0."""
     ranked = O.top_k(merged, ["item"], count)
-    return ranked.join(durations, "item", "left").withColumn("duration", F.coalesce("duration", F.lit(0)))
+    return O.enrich(ranked, durations, "item").withColumn("duration", F.coalesce("duration", F.lit(0)))
 
 
 def invert(merged: DataFrame, pool: DataFrame, count: int | None = None) -> DataFrame:
@@ -107,20 +107,20 @@ def query_tokens(queries: DataFrame, lexicon: DataFrame | None = None, kinds: Se
 def query_tag_counts(searches: DataFrame, collections: DataFrame, item_rule: Column, min_count: int = 20, **tokens) -> DataFrame:
     """(item, tag, n): searches per item and query above ``min_count``, by token."""
     counted = searches.groupBy("id", "query").agg(F.count("*").alias("n"))
-    supported = O.expand_ids(counted, collections, item_rule).groupBy("item", "query").agg(F.sum("n").alias("n")).where(F.col("n") > min_count)
+    supported = O.supported(O.expand_ids(counted, collections, item_rule), ["item", "query"], min_count, F.col("n"))
     return query_tokens(supported, **tokens).groupBy("item", "tag").agg(F.sum("n").alias("n"))
 
 
 def query_tags(counts: DataFrame, count: int = 30, min_weight: float = 0.01) -> DataFrame:
     """(item, tag, weight): counts over the item's largest, the largest kept."""
     rows = O.max_norm(counts.withColumn("weight", F.col("n").cast("double")).drop("n"), ["item"])
-    return O.top_k(rows.where(F.col("weight") > min_weight), ["item"], count)
+    return O.top_k(O.above(rows, min_weight), ["item"], count)
 
 
 def query_postings(counts: DataFrame, pool: DataFrame, min_weight: float = 0.01) -> DataFrame:
     """(tag, item, weight): counts of pool items over the tag's largest."""
     rows = O.max_norm(O.restrict(counts, pool, "item").withColumn("weight", F.col("n").cast("double")).drop("n"), ["tag"], hot=True)
-    return rows.where(F.col("weight") > min_weight)
+    return O.above(rows, min_weight)
 
 
 def join_tags(content: DataFrame, query: DataFrame, count: int = 30) -> DataFrame:
@@ -146,7 +146,7 @@ def ctr_postings(lists: DataFrame, ctr: DataFrame, count: int = 200, share: floa
     per_item = ctr.groupBy("item").agg(F.max("ctr").alias("ctr"))
     low = F.col("weight") * share
     use = F.coalesce(F.col("ctr") > low, F.lit(False))
-    blended = lists.join(per_item, "item", "left").select("tag", "item", F.round(F.when(use, F.col("ctr")).otherwise(low), 9).alias("weight"), F.when(use, "ctr").otherwise("tag").alias("weight_type"))
+    blended = O.enrich(lists, per_item, "item").select("tag", "item", F.round(F.when(use, F.col("ctr")).otherwise(low), 9).alias("weight"), F.when(use, "ctr").otherwise("tag").alias("weight_type"))
     return O.top_k(blended, ["tag"], count, tie=("item",), ascending=ascending)
 
 

@@ -32,19 +32,31 @@ def play_sums(plays: DataFrame) -> DataFrame:
     return valid.withColumn("ratio", ratio).where("ratio > 0.01").groupBy("user", "item", "duration").agg(F.round(F.sum("ratio"), 9).alias("ratio"))
 
 
+def play_tags(plays: DataFrame, item_tags: DataFrame) -> DataFrame:
+    """Plays with each tag of their item; the weight is percent times tag weight."""
+    rows = O.enrich(plays, item_tags.select("item", "tag", "weight"), "item", required=True)
+    return rows.withColumn("weight", F.col("percent") * F.col("weight"))
+
+
 def daily_tags(plays: DataFrame, item_tags: DataFrame, min_weight: float = 0.01) -> DataFrame:
     """(day, user, tag, weight, squashed): percent times tag weight, added up per day."""
-    rows = plays.select("day", "user", "item", "percent").join(item_tags.select("item", "tag", "weight"), "item")
-    merged = O.sum_merge(rows.withColumn("weight", F.col("percent") * F.col("weight")), ["day", "user", "tag"])
-    return merged.where(F.col("weight") > min_weight).withColumn("squashed", X.sigmoid(F.col("weight")))
+    rows = play_tags(plays.select("day", "user", "item", "percent"), item_tags)
+    merged = O.above(O.sum_merge(rows, ["day", "user", "tag"]), min_weight)
+    return merged.withColumn("squashed", X.sigmoid(F.col("weight")))
 
 
-def daily_vectors(plays: DataFrame, item_tags: DataFrame) -> DataFrame:
-    """(user, items, tags): items viewed, and the summed vector as a list by tag."""
-    rows = plays.join(item_tags, "item").withColumn("weight", F.col("percent") * F.col("weight"))
-    vector = O.sum_merge(rows, ["user", "tag"]).groupBy("user").agg(F.array_sort(F.collect_list(F.struct(F.col("tag").alias("id"), "weight"))).alias("tags"))
-    seen = plays.groupBy("user").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    return seen.join(vector, "user")
+def daily_vectors(plays: DataFrame, item_tags: DataFrame, chunk: int = O.CHUNK) -> DataFrame:
+    """(user, chunk, items, tags): items viewed, and the summed vector as a list by tag.
+
+    Both stay long until the end. A user of more than ``chunk`` items or tags has several
+    numbered rows of about that many; where one list is the longer, the other is empty.
+    """
+    vector = O.sum_merge(play_tags(plays.select("user", "item", "percent"), item_tags), ["user", "tag"])
+    tags = O.chunk_number(vector, "user", F.col("tag"), F.lit(1), chunk).groupBy("user", "chunk").agg(F.array_sort(F.collect_list(F.struct(F.col("tag").alias("id"), "weight"))).alias("tags"))
+    played = plays.select("user", "item").distinct().join(vector.select("user").distinct(), "user", "left_semi")
+    items = O.chunk_number(played, "user", F.col("item"), F.lit(1), chunk).groupBy("user", "chunk").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    none = lambda name: F.coalesce(name, F.array()).alias(name)
+    return items.join(tags, ["user", "chunk"], "full_outer").select("user", "chunk", none("items"), none("tags"))
 
 
 def monthly(daily: DataFrame, as_of: Column, keys: list[str], days: int = 30, count: int = 100, by: str = "user") -> DataFrame:

@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 
+from tagloom.operators import cosine as C
 from tagloom.operators import frames as O
 from tagloom.plans import items as I
 from tagloom.plans import tags as T
@@ -53,7 +54,7 @@ def test_histogram_buckets(spark):
 def test_cosine_without_shared_feature_gives_no_row(spark):
     left = spark.createDataFrame([(1, "x", 1.0), (2, "y", 1.0)], "item int, idx string, val double")
     right = spark.createDataFrame([(9, "x", 2.0), (9, "z", 2.0)], "other int, idx string, val double")
-    assert rows(O.cosine_pairs(left, right)) == [(1, 9, pytest.approx(0.707106781))]
+    assert rows(C.cosine_pairs(left, right)) == [(1, 9, pytest.approx(0.707106781))]
     assert rows(I.best_collection(left, right), "item", "other") == [(1, 9)]
 
 
@@ -75,9 +76,9 @@ def test_cosines_of_blocks_are_those_of_one_block(spark):
             if x.keys() & y.keys() and length:
                 want[a, b] = sum(x[t] * y[t] for t in x.keys() & y.keys()) / length
     for block in (7, 1000):
-        got = {(r["item"], r["other"]): r["cosine"] for r in O.cosine_pairs(left, right, block=block).collect()}
+        got = {(r["item"], r["other"]): r["cosine"] for r in C.cosine_pairs(left, right, block=block).collect()}
         assert got == pytest.approx(want, abs=1e-9)
-        near = O.cosine_pairs(left, right, count=3, min_cosine=0.1, same=False, block=block).collect()
+        near = C.cosine_pairs(left, right, count=3, min_cosine=0.1, same=False, block=block).collect()
         best = {}
         for (a, b), c in sorted(want.items(), key=lambda x: (x[0][0], -round(x[1], 9), x[0][1])):
             if a != b and round(c, 9) > 0.1 and len(best.setdefault(a, [])) < 3:
@@ -154,3 +155,55 @@ def test_control_header_keeps_the_newer(spark):
     state = spark.createDataFrame([("n_p_1", "9#0"), ("n_p_2", "10#0"), ("n_p_3", "broken")], "key string, header string")
     found = {r["key"]: r["values"][0] for r in K.controlled_payload(lists, state, "n", "p", -1).collect()}
     assert found == {"n_p_0": "10#1", "n_p_1": "10#1", "n_p_2": "10#0", "n_p_3": "10#1"}
+
+
+def test_top_k_of_a_hot_group(spark):
+    """One tag on all items: the first stage is spread, and the result is that of one sort."""
+    from pyspark.sql import functions as F
+
+    frame = spark.range(40_000).select(F.lit("hot").alias("tag"), F.col("id").alias("item"), (F.col("id") % 997).cast("double").alias("weight"))
+    order = [F.col("weight").desc(), F.col("item")]
+    first = O.salted_top_k(frame, ["tag"], 1500, order, ["item"], salts=8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tasks = [r["count"] for r in first.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) > 1
+    assert max(tasks) <= 8 * 1500 * 0.8
+    got = [r["item"] for r in O.top_k(frame, ["tag"], 1500, tie=("item",)).orderBy(*order).collect()]
+    assert got == sorted(range(40_000), key=lambda i: (-(i % 997), i))[:1500]
+
+
+def test_long_lists_are_chunks(spark):
+    """A hot key's elements go to numbered rows of a bounded size, and none is lost."""
+    from pyspark.sql import functions as F
+
+    data = spark.range(30_000).select(F.lit("hot").alias("k"), F.array(F.col("id") % 20_000, F.lit(7)).alias("v"))
+    data = data.unionByName(spark.createDataFrame([("few", [3, 1, 3]), ("none", []), (None, [5])], "k string, v array<long>"))
+    sets = O.flat_set(data, "k", "v", chunk=1000).collect()
+    assert sorted(x for r in sets if r["k"] == "hot" for x in r["v"]) == list(range(20_000))
+    assert [(r["chunk"], r["v"]) for r in sets if r["k"] == "few"] == [(0, [1, 3])]
+    assert [r["v"] for r in sets if r["k"] is None] == [[5]]
+    lists = O.flat_list(data, "k", "v", chunk=1000).collect()
+    hot = [r for r in lists if r["k"] == "hot"]
+    assert sorted(x for r in hot for x in r["v"]) == sorted([i % 20_000 for i in range(30_000)] + [7] * 30_000)
+    for rows_of, most in ((sets, 1300), (hot, 4000)):
+        assert all(r["v"] == sorted(r["v"]) for r in rows_of)
+        assert max(len(r["v"]) for r in rows_of) <= most
+    assert len({r["chunk"] for r in hot}) == len(hot)
+    assert [r["v"] for r in lists if r["k"] == "few"] == [[1, 3, 3]]
+
+
+def test_user_vectors_of_many_items(spark):
+    from pyspark.sql import functions as F
+
+    from tagloom.plans import users as U
+
+    plays = spark.range(5000).select(F.lit("u").alias("user"), F.col("id").alias("item"), F.lit(0.5).alias("percent")).unionByName(spark.createDataFrame([("v", 1, 1.0), ("w", -1, 1.0)], "user string, item long, percent double"))
+    tags = spark.range(5000).select(F.col("id").alias("item"), F.concat(F.lit("t"), F.col("id") % 10).alias("tag"), F.lit(2.0).alias("weight"))
+    got = U.daily_vectors(plays, tags, chunk=500).collect()
+    own = [r for r in got if r["user"] == "u"]
+    assert sorted(i for r in own for i in r["items"]) == list(range(5000))
+    assert max(len(r["items"]) for r in own) < 750
+    assert sorted((t["id"], t["weight"]) for r in own for t in r["tags"]) == [(f"t{k}", 500.0) for k in range(10)]
+    assert [(r["items"], [tuple(t) for t in r["tags"]]) for r in got if r["user"] == "v"] == [([1], [("t1", 2.0)])]
+    assert not [r for r in got if r["user"] == "w"]
