@@ -212,8 +212,8 @@ def m_itemsimctr(spark, d):
 )
 def m_cold(spark, d):
     log = V.exposures(spark, d).select("item", F.col("exposure").cast("int").alias("exposure"))
-    published = V.plays(spark, d).select("item", F.col("day").alias("published"))
-    return _rounded(I.cold_lists(V.posted(spark, d), log, published, V.today(spark, d), 4, 300, "sum"))
+    published = V.with_today(V.plays(spark, d).select("item", F.col("day").alias("published")), spark, d)
+    return _rounded(I.cold_lists(V.posted(spark, d), log, published, F.col("as_of"), 4, 300, "sum"))
 
 
 @query(COSINE + "SELECT item, other, round(cosine, 9) AS cosine FROM cos QUALIFY row_number() OVER (PARTITION BY item ORDER BY cosine DESC, other) = 1")
@@ -364,7 +364,7 @@ UCM = UC + """, ucm AS (
 
 
 def _collection_months(spark, d):
-    return U.monthly(U.user_collections(V.month(spark, d), V.episode_weights(spark, d)), V.today(spark, d), ["collection"])
+    return U.monthly(V.with_today(U.user_collections(V.month(spark, d), V.episode_weights(spark, d)), spark, d), F.col("as_of"), ["collection"])
 
 
 @query(USERITEMS + UCM + """SELECT "user", collection, round(weight, 9) AS weight FROM ucm""")
@@ -400,7 +400,7 @@ CATS = """
 
 def _category_months(spark, d):
     categories = V.parts(spark, d).select("item", F.col("p_type").alias("first"), F.col("p_size").alias("second"))
-    return U.monthly(U.daily_categories(V.month(spark, d), categories), V.today(spark, d), ["first", "second"])
+    return U.monthly(V.with_today(U.daily_categories(V.month(spark, d), categories), spark, d), F.col("as_of"), ["first", "second"])
 
 
 @query(CATS + """SELECT "user", first, second, round(weight, 9) AS weight FROM catm""")

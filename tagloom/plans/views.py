@@ -86,12 +86,12 @@ def user_days(spark: SparkSession, d: str) -> DataFrame:
 
 
 def today(spark: SparkSession, d: str) -> Column:
-    """The newest ship date as a literal: one row to the driver."""
+    """The newest ship date as a literal, which prunes folders by day: one row to the driver."""
     return F.lit(table(spark, d, "lineitem").agg(F.to_date(F.max("l_shipdate"))).first()[0]).cast("date")
 
 
 def user_months(spark: SparkSession, d: str) -> DataFrame:
-    return U.monthly(user_days(spark, d), today(spark, d), ["tag"])
+    return U.monthly(with_today(user_days(spark, d), spark, d), F.col("as_of"), ["tag"])
 
 
 def members(spark: SparkSession, d: str) -> DataFrame:
