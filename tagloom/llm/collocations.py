@@ -20,10 +20,10 @@ LONGEST, LEAST, TOP = 4, 30, 2000
 SCALE = 2_000_000
 #: A phrase goes if a longer one around it has at least so many percent of its occurrences.
 COVERED = 80
-#: Suffixes that one task is to sort at a time. A word that occurs as often is hot.
-CAPACITY = 1 << 16
-#: Distinct suffixes or words, and their bytes, that a task counts before it hands them on.
-TASK_KEYS, TASK_BYTES = 300_000, 1 << 25
+#: Suffixes of a bucket, which one task sorts, and the least number of buckets. A word that fills a bucket is hot.
+CAPACITY, BUCKETS = 1 << 22, 64
+#: Distinct words that a task counts, and words of texts whose suffixes it holds, before it hands them on.
+TASK_KEYS, TASK_WORDS = 300_000, 1 << 20
 #: Bits of the table of frequent words, at most: 16 MB.
 TABLE_BITS = 1 << 27
 #: Bytes of text that are cut into words at a time.
@@ -43,23 +43,14 @@ _BYTES = bytes(_BYTES)
 # ------------------------------------------------------------- words of a text
 
 
-def stretches(text: str) -> Iterator[tuple[list[bytes], bool]]:
-    """Words of consecutive stretches of a text, and if the stretch ends a piece.
-
-    A stretch is a piece, or a part of a long piece.
-    """
-    raw = text.encode().translate(_BYTES)
+def stretches(text: str) -> Iterator[list[bytes]]:
+    """Words of consecutive stretches of a text; a line feed stands between pieces, and empty words are to be ignored."""
+    raw = text.encode().translate(_BYTES).replace(b"\n", b" \n ")
     begin = 0
     while begin < len(raw):
-        end = raw.find(b"\n", begin)
+        end = raw.find(b" ", begin + STRETCH)
         end = len(raw) if end < 0 else end
-        if end - begin > 2 * STRETCH:
-            cut = raw.find(b" ", begin + STRETCH, end)
-            if cut >= 0:
-                yield raw[begin:cut].split(), False
-                begin = cut
-                continue
-        yield raw[begin:end].split(), True
+        yield raw[begin:end].split(b" ")
         begin = end + 1
 
 
@@ -78,6 +69,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         def out() -> Iterator[pa.RecordBatch]:
             for lang, words in sums.items():
+                for none in (b"", b"\n"):
+                    words.pop(none, None)
                 keys = pa.array(words.keys(), pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), keys, pa.array(words.values(), pa.int64())], ["lang", "word", "n"])
             sums.clear()
@@ -85,7 +78,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = sums.setdefault(lang, Counter())
-                for some, _ in stretches(text):
+                for some in stretches(text):
                     words.update(some)
                 held += len(text)
                 if held > 4 * STRETCH:
@@ -139,127 +132,142 @@ class WordTable:
             hot[begin : begin + len(row["hots"])] = row["hots"]
         return WordTable(bytes(frequent), bytes(hot))
 
-    def states(self, lang: str) -> WordStates:
-        return WordStates(self, lang.encode())
-
-
-class WordStates(dict):
-    """Of each word 0, 1 if it is frequent, or 2 if it is hot, for one language."""
-
-    def __init__(self, table: WordTable, lang: bytes) -> None:
-        super().__init__()
-        self.table, self.tail = table, b"\0" + lang
-
-    def __missing__(self, word: bytes) -> int:
-        slot = zlib.crc32(self.tail, zlib.crc32(word)) & self.table.mask
-        at, bit = slot >> 3, 1 << (slot & 7)
-        state = 0 if not self.table.frequent[at] & bit else 2 if self.table.hot[at] & bit else 1
-        if len(self) > TASK_KEYS:
-            self.clear()
-        self[word] = state
-        return state
+    def state(self, slot: int) -> int:
+        """0 of an infrequent word, 1 of a frequent and 2 of a hot one."""
+        at, bit = (slot & self.mask) >> 3, 1 << (slot & 7)
+        return 0 if not self.frequent[at] & bit else 2 if self.hot[at] & bit else 1
 
 
 # ------------------------------------------------------------------- suffixes
 
+_NOTHING, _BREAK = -2, -1
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
-class SuffixCounts:
-    """Suffixes of one language, by how many leading words route them, and at 0 phrases of hot words only."""
-
-    def __init__(self, states: WordStates) -> None:
-        self.states = states
-        self.routed: list[Counter[bytes]] = [Counter() for _ in range(LONGEST + 1)]
-        self.tail: list[bytes] = []
-
-    def add(self, words: list[bytes], ends: bool) -> None:
-        """The next words of a piece; their last ones wait for more unless the piece ends."""
-        words = self.tail + words if self.tail else words
-        self.tail = [] if ends else words[-(LONGEST - 1) :]
-        kinds = list(map(self.states.__getitem__, words))
-        routed, hot, size = self.routed, self.routed[0], len(words)
-        for k in range(size - 1 if ends else size - LONGEST + 1):
-            if not kinds[k] or not kinds[k + 1]:
-                continue
-            end = k + 2
-            if end < size and kinds[end]:
-                end += 1
-                if end < size and kinds[end]:
-                    end += 1
-            if kinds[k] == 1 or kinds[k + 1] == 1:
-                routed[2][b" ".join(words[k:end])] += 1
-                continue
-            lead = k + 2
-            while lead < end and kinds[lead] == 2:
-                lead += 1
-            for stop in range(k + 2, lead + 1):
-                hot[b" ".join(words[k:stop])] += 1
-            if lead < end:
-                routed[lead + 1 - k][b" ".join(words[k:end])] += 1
 
-    def __len__(self) -> int:
-        return sum(map(len, self.routed))
+class Suffixes(dict):
+    """Suffixes of one language in a task. As a dict it has the code of each word, -1 of one that breaks suffixes."""
 
+    def __init__(self, table: WordTable, lang: str) -> None:
+        super().__init__({b"": _NOTHING, b"\n": _BREAK})
+        self.table, self.tail = table, b"\0" + lang.encode()
+        self.words: list[bytes] = []
+        self.hashes: list[int] = []
+        self.hot: list[bool] = []
+        self.buffer: list[np.ndarray] = []
+        self.held = 0
 
-def _leading(suffix: bytes, count: int) -> bytes:
-    at = -1
-    for _ in range(count):
-        at = suffix.find(b" ", at + 1)
-        if at < 0:
-            return suffix
-    return suffix[:at]
+    def __missing__(self, word: bytes) -> int:
+        slot = zlib.crc32(self.tail, zlib.crc32(word))
+        state = self.table.state(slot)
+        code = len(self.words) if state else _BREAK
+        if state:
+            self.words.append(word)
+            self.hashes.append(slot)
+            self.hot.append(state == 2)
+        self[word] = code
+        return code
+
+    def add(self, words: list[bytes]) -> None:
+        codes = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        self.buffer.append(codes[codes != _NOTHING])
+        self.held += len(self.buffer[-1])
+
+    def end(self) -> None:
+        """The end of a text."""
+        self.buffer.append(np.full(1, _BREAK, np.int32))
+
+    def forget(self) -> None:
+        """Give the codes up: only between texts, when nothing is held."""
+        table, lang = self.table, self.tail[1:].decode()
+        self.clear()
+        self.__init__(table, lang)
+
+    def take(self, buckets: int, ends: bool) -> Iterator[tuple[int, int, bytes, bytes, bytes]]:
+        """(bucket, lead, words, codes, counts) of the distinct suffixes of what is held; unless it ``ends``, the last words stay."""
+        codes = np.concatenate([*self.buffer, np.full((LONGEST - 1) * ends, _BREAK, np.int32)])
+        self.buffer, self.held = [codes[-(LONGEST - 1) :]] * (not ends), 0
+        if len(codes) < LONGEST:
+            return
+        hot = np.append(np.array(self.hot, bool), False)
+        rows = np.stack([codes[k : len(codes) - LONGEST + 1 + k] for k in range(LONGEST)], axis=1)
+        rows = rows[(rows[:, 0] >= 0) & (rows[:, 1] >= 0)]
+        for k in range(2, LONGEST):
+            rows[rows[:, k - 1] < 0, k] = _BREAK
+        # words up to the first that is not hot; of a suffix of hot words only, each beginning is a row of its own
+        warm = ~hot[rows]
+        lead = np.maximum(warm.argmax(axis=1) + 1, 2)
+        only = rows[np.arange(len(rows)), lead - 1] < 0
+        only |= ~warm.any(axis=1)
+        starts = [np.where(np.arange(LONGEST) < size, rows, _BREAK)[(hot[rows[:, :size]] & (rows[:, :size] >= 0)).all(axis=1)] for size in range(2, LONGEST + 1)]
+        lead = np.concatenate([lead[~only], np.zeros(sum(map(len, starts)), lead.dtype)])
+        rows = np.concatenate([rows[~only], *starts])
+        if not len(rows):
+            return
+        pair = lambda a, b: ((a.astype(np.int64) + 1) << 32) | (b.astype(np.int64) + 1)
+        keys = (pair(rows[:, 2], rows[:, 3]), pair(rows[:, 0], rows[:, 1]))
+        order = np.lexsort(keys)
+        new = np.flatnonzero(np.append(True, (np.diff(keys[0][order]) != 0) | (np.diff(keys[1][order]) != 0)))
+        counts = np.diff(np.append(new, len(order)))
+        rows, lead = rows[order[new]], lead[order[new]]
+        hashes = np.append(np.array(self.hashes, np.uint64), np.uint64(0))
+        route = np.zeros(len(rows), np.uint64)
+        for k in range(LONGEST):
+            route = np.where((k < lead) | (lead == 0), (route ^ hashes[rows[:, k]]) * _MIX, route)
+            route ^= route >> np.uint64(29)
+        bucket = (route % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((lead, bucket))
+        rows, lead, bucket, counts = rows[order], lead[order], bucket[order], counts[order]
+        edges = np.flatnonzero(np.append(True, (np.diff(bucket) != 0) | (np.diff(lead) != 0)))
+        for begin, stop in zip(edges, [*edges[1:], len(rows)], strict=True):
+            kinds, own = np.unique(rows[begin:stop], return_inverse=True)
+            own = own.reshape(-1, LONGEST) - int(kinds[0] < 0)  # 0 to the number of words, -1 behind the end
+            words = b"\n".join([self.words[k] for k in kinds[kinds >= 0]])
+            narrow = np.int16 if len(kinds) <= 1 << 15 else np.int32
+            yield int(bucket[begin]), int(lead[begin]), *(zlib.compress(x, 1) for x in (words, own.T.astype(narrow).tobytes(), counts[begin:stop].astype(np.int64).tobytes()))
 
 
 def _route(docs: DataFrame, table: Broadcast, buckets: int) -> DataFrame:
-    """(bucket, lang, lead, suffixes, counts) rows: packed suffixes, and where ``lead`` is 0 phrases of hot words only.
+    """(bucket, lang, lead, words, codes, counts) rows: packed suffixes, and where ``lead`` is 0 phrases of hot words only.
 
     A suffix is the up to four words from a place of a piece up to its first infrequent
     word. Its bucket is a hash of its ``lead`` leading words: two, or more up to the first
-    that is not hot, so that no group of a bucket has more than ``CAPACITY`` suffixes.
+    that is not hot, so that no group fills more than a bucket.
     The phrases of ``lead`` words and more are counted there. The shorter ones have hot
     words only and would lie in several buckets; each task counts them, and their bucket
     is a hash of the whole phrase.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, SuffixCounts] = {}
-        held = 0
+        suffixes: dict[str, Suffixes] = {}
 
-        def out() -> Iterator[pa.RecordBatch]:
-            for lang, mine in counts.items():
-                salt = zlib.crc32(lang.encode())
-                rows: dict[tuple[int, int], tuple[list, list]] = {}
-                for lead, suffixes in enumerate(mine.routed):
-                    for suffix, n in suffixes.items():
-                        texts, numbers = rows.setdefault((zlib.crc32(_leading(suffix, lead or LONGEST), salt) % buckets, lead), ([], []))
-                        texts.append(suffix)
-                        numbers.append(n)
-                columns = [
-                    pa.array([bucket for bucket, _ in rows], pa.int64()),
-                    pa.array([lang] * len(rows), pa.string()),
-                    pa.array([lead for _, lead in rows], pa.int32()),
-                    pa.array([b"\n".join(texts) for texts, _ in rows.values()], pa.binary()),
-                    pa.array([np.array(numbers, np.int64).tobytes() for _, numbers in rows.values()], pa.binary()),
-                ]
-                for suffixes in mine.routed:
-                    suffixes.clear()
-                for begin in range(0, len(rows), 2000):
-                    yield pa.RecordBatch.from_arrays([c.slice(begin, 2000) for c in columns], ["bucket", "lang", "lead", "suffixes", "counts"])
+        def out(lang: str, ends: bool) -> Iterator[pa.RecordBatch]:
+            rows = list(suffixes[lang].take(buckets, ends))
+            for begin in range(0, len(rows), 2000):
+                bucket, lead, words, codes, counts = zip(*rows[begin : begin + 2000], strict=True)
+                columns = [pa.array(bucket, pa.int64()), pa.array([lang] * len(bucket), pa.string()), pa.array(lead, pa.int32()), *(pa.array(c, pa.binary()) for c in (words, codes, counts))]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "lang", "lead", "words", "codes", "counts"])
 
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if lang not in counts:
-                    counts[lang] = SuffixCounts(table.value.states(lang))
-                mine = counts[lang]
-                for words, ends in stretches(text):
-                    mine.add(words, ends)
-                    held += len(words)
-                    if held > TASK_KEYS:
-                        held = 0
-                        if sum(map(len, counts.values())) > TASK_KEYS or sum(len(x) for c in counts.values() for s in c.routed for x in s) > TASK_BYTES:
-                            yield from out()
-        yield from out()
+                if lang not in suffixes:
+                    suffixes[lang] = Suffixes(table.value, lang)
+                mine = suffixes[lang]
+                for words in stretches(text):
+                    mine.add(words)
+                    if mine.held >= TASK_WORDS:
+                        yield from out(lang, False)
+                mine.end()
+                if len(mine) > TASK_KEYS:
+                    yield from out(lang, True)
+                    mine.forget()
+                if len(suffixes) > 4 and sum(x.held for x in suffixes.values()) > 4 * TASK_WORDS:
+                    for name in list(suffixes):
+                        yield from out(name, True)
+                    suffixes.clear()
+        for lang in suffixes:
+            yield from out(lang, True)
 
-    return docs.select("lang", "text").mapInArrow(run, "bucket long, lang string, lead int, suffixes binary, counts binary")
+    return docs.select("lang", "text").mapInArrow(run, "bucket long, lang string, lead int, words binary, codes binary, counts binary")
 
 
 def frequent_prefixes(keys: np.ndarray, weights: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
@@ -274,7 +282,7 @@ def frequent_prefixes(keys: np.ndarray, weights: np.ndarray, least: int) -> Iter
     while todo:
         rows, depth = todo.pop()
         column = keys[rows, depth]
-        pivot = np.partition(column, len(column) // 2)[len(column) // 2] if len(column) > 2 else column[0]
+        pivot = sorted((column[0], column[len(column) // 2], column[-1]))[1]
         for sign, part in ((-1, column < pivot), (1, column > pivot), (0, column == pivot)):
             some = rows[part]
             if not len(some) or (weight := int(weights[some].sum())) < least:
@@ -287,34 +295,35 @@ def frequent_prefixes(keys: np.ndarray, weights: np.ndarray, least: int) -> Iter
                     todo.append((some, depth + 1))
 
 
-def _pointers(blobs: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def _pointers(blobs: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Keys of the words of packed suffixes (a row each, -1 behind its end), their weights, and the words by key."""
-    codes: dict[bytes, int] = {b"\n": -1}
-    flat = b"\n".join(blobs).replace(b"\n", b" \n ").split(b" ")
-    keys = np.fromiter((codes.setdefault(w, len(codes) - 1) for w in flat), np.int32, len(flat))
-    row = np.cumsum(keys < 0)
-    inside = np.flatnonzero(keys >= 0)
-    row = row[inside]
-    first = np.searchsorted(row, row)
-    matrix = np.full((int(row[-1]) + 1, LONGEST), -1, np.int32)
-    matrix[row, np.arange(len(row)) - first] = keys[inside]
-    return matrix, np.frombuffer(b"".join(counts), np.int64), list(codes)[1:]
+    known: dict[bytes, int] = {}
+    keys, weights = [], []
+    for words, codes, numbers in blobs:
+        own = np.array([*(known.setdefault(w, len(known)) for w in zlib.decompress(words).split(b"\n")), -1], np.int32)
+        codes, counts = zlib.decompress(codes), np.frombuffer(zlib.decompress(numbers), np.int64)
+        weights.append(counts)
+        keys.append(own[np.frombuffer(codes, np.int16 if len(codes) == 2 * LONGEST * len(counts) else np.int32).reshape(LONGEST, -1).T])
+    return np.concatenate(keys), np.concatenate(weights), list(known)
+
+
+def _whole_rows(keys: np.ndarray, weights: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
+    """(row, depth, weight) of the distinct rows that weigh ``least`` or more."""
+    order = np.lexsort(keys.T)
+    new = np.flatnonzero(np.append(True, (np.diff(keys[order], axis=0) != 0).any(axis=1)))
+    for row, weight in zip(order[new], np.add.reduceat(weights[order], new), strict=True):
+        if weight >= least:
+            yield int(row), int((keys[row] >= 0).sum()), int(weight)
 
 
 def _count_phrases(routed: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, words, a) of the phrases of ``least`` occurrences or more."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (lang, lead), blobs, counts in _groups(batches):
-            if lead:
-                keys, weights, words = _pointers(blobs, counts)
-                found = [(b" ".join([words[k] for k in keys[row, :depth]]), depth, n) for row, depth, n in frequent_prefixes(keys, weights, least) if depth >= lead]
-            else:
-                sums: Counter[bytes] = Counter()
-                for phrases, numbers in zip(blobs, counts, strict=True):
-                    for phrase, n in zip(phrases.split(b"\n"), np.frombuffer(numbers, np.int64).tolist(), strict=True):
-                        sums[phrase] += n
-                found = [(phrase, phrase.count(b" ") + 1, n) for phrase, n in sums.items() if n >= least]
+        for lang, lead, blobs in _groups(batches):
+            keys, weights, words = _pointers(blobs)
+            counted = frequent_prefixes(keys, weights, least) if lead else _whole_rows(keys, weights, least)
+            found = [(b" ".join([words[k] for k in keys[row, :depth]]), depth, n) for row, depth, n in counted if depth >= lead]
             columns = [[lang] * len(found), *zip(*found, strict=True)] if found else [[]] * 4
             kinds = (pa.string(), pa.binary(), pa.int32(), pa.int64())
             made = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
@@ -324,18 +333,17 @@ def _count_phrases(routed: DataFrame, least: int) -> DataFrame:
     return dealt.mapInArrow(run, "lang string, phrase string, words int, a long")
 
 
-def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], list[bytes], list[bytes]]]:
-    current, blobs, counts = None, [], []
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, int, list[tuple[bytes, bytes, bytes]]]]:
+    current, blobs = None, []
     for batch in batches:
-        for bucket, lang, lead, some, numbers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for bucket, lang, lead, *blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if current != (bucket, lang, lead):
                 if blobs:
-                    yield current[1:], blobs, counts
-                current, blobs, counts = (bucket, lang, lead), [], []
-            blobs.append(some)
-            counts.append(numbers)
+                    yield *current[1:], blobs
+                current, blobs = (bucket, lang, lead), []
+            blobs.append(tuple(blob))
     if blobs:
-        yield current[1:], blobs, counts
+        yield *current[1:], blobs
 
 
 def frequent_phrases(docs: DataFrame, counts: DataFrame, least: int = LEAST, capacity: int = CAPACITY) -> DataFrame:
@@ -344,9 +352,10 @@ def frequent_phrases(docs: DataFrame, counts: DataFrame, least: int = LEAST, cap
     ``docs`` has lang and text without nulls, ``counts`` all their words of that many occurrences.
     """
     spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(WordTable.of(counts, capacity))  # 32 MB at most
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return _count_phrases(_route(docs, table, max(1, -(-total // capacity))), least)
+    size = min(capacity, max(1, total // BUCKETS))
+    table = spark.sparkContext.broadcast(WordTable.of(counts, size))  # 32 MB at most
+    return _count_phrases(_route(docs, table, max(1, -(-total // size))), least)
 
 
 # --------------------------------------------------------------------- scores
