@@ -34,6 +34,8 @@ BLOCK_WORDS = 1 << 20
 WINDOWS = (8, 12, 18, 27, 40, 60, 90, 135, 202, 303, 454, 681, 1021)
 #: Items of fewer words are found by their pieces; from here on a window starts early enough to fit.
 MIN_WORDS = 13
+#: Items of fewer words are reported, but no text is dropped for one: such words meet by chance.
+MIN_ITEM_WORDS = 5
 
 LEAKS = "doc_id long, text_key long, item_id long, edit_distance int, item_words int, similarity double, at_word long"
 
@@ -393,12 +395,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_similarity: float = 0.
     return reduce(DataFrame.unionByName, parts)
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, min_item_words: int = MIN_ITEM_WORDS, **options) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item, with all their columns, whatever their names.
 
+    Items of fewer than ``min_item_words`` words drop nothing, as ordinary texts hold
+    them by chance; :func:`find_leaks` reports them.
+
     Defined cases: those of :func:`find_leaks`; so null and empty texts stay, of
     repeated rows all stay or none, and without a benchmark every row stays.
     """
-    leaked = materialise(find_leaks(docs, benchmark, **options).select(F.col("text_key").alias("key")).distinct(), "leaks")
+    found = find_leaks(docs, benchmark, **options).where(F.col("item_words") >= min_item_words)
+    leaked = materialise(found.select(F.col("text_key").alias("key")).distinct(), "leaks")
     own, names = coded(docs)
     return decoded(own.withColumn("key", F.xxhash64(names["text"])).join(sized(leaked), "key", "left_anti"), names)

@@ -435,6 +435,14 @@ def test_rows_that_repeat_keep_their_own_columns(spark):
         assert sorted((r["doc_id"] or 0, r["extra"], r["m"]["k"] if r["m"] else 0) for r in kept.collect()) == [(0, "T", 0), (1, "X", 1)]
 
 
+def test_items_of_few_words_are_reported_but_drop_nothing(spark):
+    docs = spark.createDataFrame([(1, "the cat sat on the mat"), (2, "nothing here"), (3, "say one two three four five now")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "the"), (2, "cat sat"), (3, "one two three four five")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, bench).collect()) == [(1, 1), (1, 2), (3, 3)]
+    assert sorted(r["doc_id"] for r in decontaminate.drop_leaks(docs, bench).collect()) == [1, 2]
+    assert sorted(r["doc_id"] for r in decontaminate.drop_leaks(docs, bench, min_item_words=1).collect()) == [2]
+
+
 def test_a_cap_is_a_whole_number(spark, docs):
     with pytest.raises(ValueError, match="whole number"):
         mixing.mix_documents(docs, cap=1.5)

@@ -36,3 +36,25 @@ def test_stages_take_effect(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, DATA).count() > 0
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls in any column, repeated rows, a long text and further columns go through all stages."""
+    text = "the quick fox of the wood and its kin went to the river in the night for water that was cold and clear as glass"
+    texts = [f"{text} number {i} of these" for i in range(12)] + [None, "", " \n", "and the word of it " * 30_000]
+    rows = [(i if i % 5 else None, t, None if i % 4 == 0 else "en", None if i % 3 == 0 else "a", None, "x", None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, lang string, source string, n_chars long, shard string, key string")
+    for name, stage in corpus_pipeline.STAGES:
+        result = stage(spark, docs, DATA)
+        assert result.columns[: len(docs.columns)] == docs.columns
+        if name != "sharding":
+            docs = spark.createDataFrame(result.collect(), result.schema)
+    assert result.count() == docs.count() > 0
+
+
+def test_stages_on_no_rows(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        result = stage(spark, docs, DATA)
+        assert result.collect() == []
+        assert result.columns[: len(docs.columns)] == docs.columns
