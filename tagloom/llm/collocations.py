@@ -77,14 +77,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = sums.setdefault(lang, Counter())
                 for some in stretches(text):
-                    words.update(some)
-                held += len(text)
-                if held > 4 * STRETCH:
-                    held = 0
-                    if sum(map(len, sums.values())) > TASK_KEYS:
-                        yield from out()
+                    sums.setdefault(lang, Counter()).update(some)
+                    held += len(some)
+                    if held > TASK_WORDS:
+                        held = 0
+                        if sum(map(len, sums.values())) > TASK_KEYS:
+                            yield from out()
         yield from out()
 
     return docs.select("lang", "text").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
