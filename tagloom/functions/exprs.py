@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -84,9 +85,9 @@ def title_tokens(title: Column) -> Column:
     return F.array_union(tokens, F.filter(F.array(series_name(title)), lambda x: x.isNotNull()))
 
 
-def clean_title(title: Column) -> Column:
-    """The title without season, edition and quality suffixes and marks."""
-    return reduce(lambda text, pattern: F.regexp_replace(text, pattern, ""), TITLE_PATTERNS, title)
+def clean_title(title: Column, patterns: Sequence[str] = TITLE_PATTERNS) -> Column:
+    """The title without season, edition and quality suffixes and marks, or what else ``patterns`` take off in turn."""
+    return reduce(lambda text, pattern: F.regexp_replace(text, pattern, ""), patterns, title)
 
 
 # --------------------------------------------------------------------- numbers

@@ -84,9 +84,9 @@ def invert(merged: DataFrame, pool: DataFrame, count: int | None = None) -> Data
     return kept if count is None else O.top_k(kept, ["tag"], count, tie=("item",))
 
 
-def vocabulary(tags: DataFrame, titles: DataFrame) -> DataFrame:
+def vocabulary(tags: DataFrame, titles: DataFrame, patterns: Sequence[str] = X.TITLE_PATTERNS) -> DataFrame:
     """Distinct words: tags and cleaned titles in lower case, longer than one character."""
-    clean = titles.select(X.clean_title(F.col("title")).alias("word"))
+    clean = titles.select(X.clean_title(F.col("title"), patterns).alias("word"))
     return tags.select(F.col("tag").alias("word")).union(clean).select(X.lower_trim(F.col("word")).alias("word")).where(F.length("word") > 1).distinct()
 
 

@@ -35,3 +35,10 @@ def test_stored_headers_stay_beyond_a_million_items(spark, tmp_path):
     got, want = compare(spark, tmp_path, "k_kvcontrol", part=part)
     assert got == want
     assert ("b_c_1000003", 0, "999999#1") in got
+
+
+def test_titles_that_end_in_a_cut_hash(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "<title>token ec111b2d</title>"), (2, "u", "<title>Key A73D12</title>"), (3, "u", "<title>season 2 of 9\n</title>")], "page_id long, url string, html string")
+    got, want = compare(spark, tmp_path, "m_vocab", pages=pages)
+    assert got == want
+    assert ("tokenec111b2d",) in got and ("keya73d",) in got
