@@ -156,8 +156,24 @@ def last_days(day: Column, count: int, include_today: bool = False) -> Column:
 # ------------------------------------------------------------- lists and texts
 
 
+def printed(value: Column, digits: int) -> Column:
+    """The double of so many digits that is nearest to ``value`` itself; halves to the even digit.
+
+    Java's ``%.4f`` rounds the shortest decimal that names a double, so 0.00015, which
+    lies below that, gives 0.0002 there and 0.0001 in C and SQL. The first 24 bits and
+    the rest times a power of ten are exact, so their distance from the half is.
+    """
+    times = float(10**digits)
+    size = F.abs(value)
+    high = size.cast("float").cast("double")
+    whole = F.floor(size * times).cast("double")
+    beyond = (high * times - (whole + 0.5)) + (size - high) * times
+    nearest = F.when(beyond > 0, whole + 1).when(beyond < 0, whole).otherwise(whole + whole % 2)
+    return F.when((size > 0) & (size < 1e6), F.signum(value) * (nearest / times)).otherwise(value)
+
+
 def format_weight(weight: Column, digits: int = 4) -> Column:
-    return F.format_string(f"%.{digits}f", weight.cast("double"))
+    return F.format_string(f"%.{digits}f", printed(weight.cast("double"), digits))
 
 
 def format_list(values: Column, separator: str = ",", mark: str = ":", digits: int = 4) -> Column:

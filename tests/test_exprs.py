@@ -110,3 +110,12 @@ def test_decoding_and_predicates(spark):
 def test_fresh_class(spark, code, age, first, second, fresh):
     days = [F.lit(x).cast("int") for x in (first, second)]
     assert one(spark, X.is_fresh_class(text(code), F.lit(age), *days)) is fresh
+
+
+def test_weights_are_printed_as_in_c(spark):
+    values = [0.00015, 0.00025, 0.12345, 0.1, 2.0, 0.00005, 0.99995, 1.00005, 0.03125, 0.09375, 5e-324, 999_999.99995, 1e6, 12_345_678.00005, 0.0, -0.00015, -1e-9, math.nan, math.inf]
+    values += [(2 * k + 1) / 20_000 for k in range(0, 4_000, 7)]
+    frame = spark.createDataFrame([(v,) for v in values], "w double")
+    got = frame.select(X.format_weight(F.col("w")).alias("four"), X.format_weight(F.col("w"), 3).alias("three")).collect()
+    named = {"nan": "NaN", "inf": "Infinity"}
+    assert [tuple(r) for r in got] == [tuple(named.get(t, t) for t in ("%.4f" % v, "%.3f" % v)) for v in values]
