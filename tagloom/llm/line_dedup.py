@@ -116,8 +116,10 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_segment: int = 12, blo
     lines of one key are compared in one row of a plan.
     """
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key", "line_no")
-    distinct = _write(_lines(docs).groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n_copies"), F.first("line").alias("line")).withColumn("length", F.length("line")), "lines")
-    long = distinct.where(F.col("length") >= 2 * min_segment).select("line", "length", F.xxhash64("line").alias("line_key"))
+    distinct = _lines(docs).groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n_copies"), F.first("line").alias("line")).withColumn("length", F.length("line"))
+    # rows of a task are numbered in turn and the table is written: its few changing bytes compress where a hash does not
+    distinct = _write(distinct.withColumn("line_key", F.monotonically_increasing_id()), "lines")
+    long = distinct.where(F.col("length") >= 2 * min_segment).select("line", "length", "line_key")
     index, probes = index_keys(long, max_edits, min_segment), probe_keys(long, max_edits, min_segment)
     known = index.groupBy("key").agg(F.count("*").alias("n"), F.min("line_key").alias("only"))
     probing = _write(probes.join(known, "key").where("n > 1 or only <> line_key").select("key", "line_key"), "line-probes")
@@ -125,7 +127,7 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_segment: int = 12, blo
     members = probing.withColumns({"indexed": F.lit(False), "probing": F.lit(True)}).unionByName(indexed.withColumns({"indexed": F.lit(True), "probing": F.lit(False)}))
     members = _write(members.groupBy("key", "line_key").agg(F.max("indexed").alias("indexed"), F.max("probing").alias("probing")), "line-members")
     parts = members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    texts = distinct.select(F.xxhash64("line").alias("line_key"), "digest", "line", "length").join(sized(members.select("line_key").distinct()), "line_key", "left_semi")
+    texts = distinct.select("line_key", "digest", "line", "length").join(sized(members.select("line_key").distinct()), "line_key", "left_semi")
     dealt = (
         members.join(parts, "key")
         .withColumn("part", F.pmod(F.xxhash64("line_key", F.lit(1)), F.col("parts").cast("long")).cast("int"))
