@@ -60,17 +60,20 @@ def word_tokens(text: Column) -> Column:
 
 def phrase_tokens(text: Column, size: int = 2) -> Column:
     """Runs of ``size`` neighbouring word tokens, joined by a blank."""
-    words = word_tokens(text)
-    count = F.size(words) - (size - 1)
-    runs = F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(words, i, size), " "))
-    return F.when(count >= 1, runs).otherwise(_no_strings())
+
+    def runs(words: Column) -> Column:
+        count = F.size(words) - (size - 1)
+        joined = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.concat_ws(" ", *(F.get(words, i + k) for k in range(size))))
+        return F.when(count >= 1, joined).otherwise(_no_strings())
+
+    # the words are bound to a variable: a column named inside transform is computed again for each element
+    return F.get(F.transform(F.array(word_tokens(text)), runs), F.lit(0))
 
 
 def bigram_tokens(text: Column) -> Column:
     """Two-character windows of each run of CJK characters."""
-    runs = F.regexp_extract_all(text, F.lit(r"[一-鿿]{2,}"), F.lit(0))
-    pairs = F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substring(r, i, 2)))
-    return F.coalesce(F.flatten(pairs), _no_strings())
+    # an empty match ahead of each pair, so pairs overlap and a run is read once
+    return F.coalesce(F.regexp_extract_all(text, F.lit(r"(?=([一-鿿]{2}))"), F.lit(1)), _no_strings())
 
 
 def series_name(title: Column) -> Column:

@@ -32,6 +32,19 @@ def test_tokens(spark):
     assert one(spark, X.word_tokens(text(None))) == []
 
 
+def test_phrases_split_a_text_once(spark):
+    words = [f"w{i}" for i in range(20_000)]
+    assert one(spark, X.phrase_tokens(text(" ".join(words)))) == [f"{a} {b}" for a, b in zip(words, words[1:])]
+    assert one(spark, X.phrase_tokens(text("one two three four"), 3)) == ["one two three", "two three four"]
+    plan = spark.range(1).select(X.phrase_tokens(F.col("id").cast("string")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_bigrams_of_a_long_run(spark):
+    run = "".join(chr(0x4E00 + i) for i in range(20_000))
+    assert one(spark, X.bigram_tokens(text(f"{run}a一b"))) == [run[i : i + 2] for i in range(len(run) - 1)]
+
+
 @pytest.mark.parametrize(("title", "name"), [("show_12", "show"), ("show_x_3", "show"), ("show", None), ("show_x", None)])
 def test_series_name(spark, title, name):
     assert one(spark, X.series_name(text(title))) == name
