@@ -14,6 +14,8 @@ from tagloom.functions import exprs as X
 BROADCAST_ROWS = 1_000_000
 #: Rows of a group up to which Spark limits groups before the shuffle (its default), and parts of a group beyond.
 GROUP_LIMIT, SALTS = 1000, 64
+#: Rows of one task, about, where all of them stand in its memory.
+TASK_ROWS = 500_000
 #: Elements of one array, about; a longer list is several numbered ones.
 CHUNK = 100_000
 
@@ -46,6 +48,15 @@ def unique_keys(pairs: DataFrame, key: str, value: str) -> DataFrame:
     return pairs.select(key, value).distinct().groupBy(key).agg(F.count("*").alias("__n"), F.min(value).alias(value)).where("__n = 1").drop("__n")
 
 
+def distinct_rows(rows: DataFrame, about: int, task: int = TASK_ROWS) -> DataFrame:
+    """Distinct rows, of ``about`` so many, in tasks of about ``task`` rows however many there are.
+
+    Spark would also look for equal rows before the shuffle, in tasks that are sized by what
+    they read: a join that makes many long rows of few short ones fills them.
+    """
+    return rows.distinct() if about <= task else rows.repartition(-(-about // task), *rows.columns).distinct()
+
+
 def expand_ids(rows: DataFrame, collections: DataFrame, item_rule: Column) -> DataFrame:
     """``id`` to ``item``: an item stays, a collection becomes its items, another id goes."""
     items = rows.where(item_rule).withColumn("item", F.col("id"))

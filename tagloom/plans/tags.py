@@ -45,8 +45,13 @@ def collection_tags(collections: DataFrame, members: DataFrame, known: DataFrame
 
 def collection_rollup(item_tags: DataFrame, members: DataFrame, own: DataFrame | None = None) -> DataFrame:
     """(collection, key_name, tag): tags of the items, and the collection's own by name."""
-    pulled = item_tags.select("item", "tag").join(members.select("collection", "item"), "item").select("collection", F.lit("items").alias("key_name"), "tag")
-    return (pulled if own is None else pulled.unionByName(own.select("collection", "key_name", "tag"))).distinct()
+    members = written(members.select("collection", "item"), "members")
+    tags, items = item_tags.agg(F.count("*"), F.approx_count_distinct("item")).first()
+    about = members.count() * -(-tags // max(1, items))
+    # the join makes many long rows of few short ones: tasks are sized by what it makes, not by what they read
+    dealt = members if about <= O.TASK_ROWS else members.repartition(-(-about // O.TASK_ROWS), "item")
+    pulled = item_tags.select("item", "tag").join(dealt, "item").select("collection", F.lit("items").alias("key_name"), "tag")
+    return O.distinct_rows(pulled if own is None else pulled.unionByName(own.select("collection", "key_name", "tag")), about, O.TASK_ROWS)
 
 
 def tf_idf(tags: DataFrame, tf_mode: str = "linear") -> DataFrame:

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tagloom.operators import cosine as C
 from tagloom.operators import frames as O
@@ -207,3 +208,19 @@ def test_user_vectors_of_many_items(spark):
     assert sorted((t["id"], t["weight"]) for r in own for t in r["tags"]) == [(f"t{k}", 500.0) for k in range(10)]
     assert [(r["items"], [tuple(t) for t in r["tags"]]) for r in got if r["user"] == "v"] == [([1], [("t1", 2.0)])]
     assert not [r for r in got if r["user"] == "w"]
+
+
+def test_rollup_is_sized_by_the_rows_it_makes(spark, monkeypatch):
+    monkeypatch.setattr(O, "TASK_ROWS", 500)
+    tags = spark.range(100).selectExpr("id as item", "explode(array('a', 'b', concat('t', id % 7))) as tag")
+    members = spark.range(2000).selectExpr("id % 40 as collection", "id % 100 as item").distinct()
+    own = spark.range(40).selectExpr("id as collection", "'own' as key_name", "'a' as tag")
+    got = T.collection_rollup(tags, members, own)
+    want = {(m["collection"], "items", t) for m in members.collect() for t in ("a", "b", f"t{m['item'] % 7}")} | {(c, "own", "a") for c in range(40)}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    assert max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()) <= 500
+    lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = next(i for i, line in enumerate(lines) if "REPARTITION_BY_NUM" in line)
+    # rows are not aggregated between the join and their shuffle
+    assert "Union" in lines[made + 1]
