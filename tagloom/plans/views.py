@@ -39,14 +39,22 @@ def merged(spark: SparkSession, d: str) -> DataFrame:
     return T.merge_tags(weighted(spark, d))
 
 
-def plays(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("user"))
+def _lines(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("item"), F.col("l_shipdate").alias("ts"), F.col("l_quantity").alias("play"))
+    return lines.withColumn("day", F.to_date("ts"))
+
+
+def _played(lines: DataFrame, spark: SparkSession, d: str, *more: str) -> DataFrame:
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("user"))
     return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        "user", "item", "ts", F.to_date("ts").alias("day"), "play", F.lit(50.0).alias("duration"), (F.col("play") / 50).alias("percent"), "l_orderkey", "l_linenumber"
+        "user", "item", "ts", "day", "play", F.lit(50.0).alias("duration"), (F.col("play") / 50).alias("percent"), "l_orderkey", "l_linenumber", *more
     )
 
 
+def plays(spark: SparkSession, d: str) -> DataFrame:
+    return _played(_lines(spark, d), spark, d)
+
+
 def with_today(rows: DataFrame, spark: SparkSession, d: str) -> DataFrame:
     """The newest ship date on every row; the table of it has one row."""
     newest = table(spark, d, "lineitem").agg(F.to_date(F.max("l_shipdate")).alias("as_of"))
@@ -54,8 +62,9 @@ def with_today(rows: DataFrame, spark: SparkSession, d: str) -> DataFrame:
 
 
 def month(spark: SparkSession, d: str) -> DataFrame:
-    rows = with_today(plays(spark, d), spark, d).withColumn("age", F.datediff("as_of", "day"))
-    return rows.where(F.col("age").between(0, 30))
+    # lines of other months go before they are joined to orders
+    lines = with_today(_lines(spark, d), spark, d).withColumn("age", F.datediff("as_of", "day"))
+    return _played(lines.where(F.col("age").between(0, 30)), spark, d, "as_of", "age")
 
 
 def pool(spark: SparkSession, d: str) -> DataFrame:

@@ -10,6 +10,7 @@ from tagloom.operators import cosine as C
 from tagloom.operators import frames as O
 from tagloom.plans import items as I
 from tagloom.plans import tags as T
+from tagloom.plans import views as V
 from tagloom.sources import payloads as K
 from tagloom.sources import readers as S
 from tagloom.sources.scratch import scratch_path
@@ -224,3 +225,8 @@ def test_rollup_is_sized_by_the_rows_it_makes(spark, monkeypatch):
     made = next(i for i, line in enumerate(lines) if "REPARTITION_BY_NUM" in line)
     # rows are not aggregated between the join and their shuffle
     assert "Union" in lines[made + 1]
+
+
+def test_month_is_cut_before_its_orders_join(spark):
+    plan = V.month(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" in next(line for line in plan.splitlines() if "Join" in line)
