@@ -55,7 +55,7 @@ def replace_tabs(text: Column) -> Column:
 
 def word_tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits with two characters or more."""
-    return F.coalesce(F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda x: F.length(x) >= 2), _no_strings())
+    return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]{2,}"), F.lit(0)), _no_strings())
 
 
 def phrase_tokens(text: Column, size: int = 2) -> Column:

@@ -16,6 +16,10 @@ BROADCAST_ROWS = 1_000_000
 GROUP_LIMIT, SALTS = 1000, 64
 #: Rows of one task, about, where all of them stand in its memory.
 TASK_ROWS = 500_000
+#: Bytes of text of one task, about, where all its distinct words stand in memory; a key may fill so many tasks.
+TASK_TEXT, TASKS_OF_KEY = 1 << 23, 16
+#: The most frequent keys of a large table, of which so many are broadcast at most.
+FREQUENT_KEYS = 200_000
 #: Elements of one array, about; a longer list is several numbered ones.
 CHUNK = 100_000
 
@@ -57,6 +61,39 @@ def distinct_rows(rows: DataFrame, about: int, task: int = TASK_ROWS) -> DataFra
     return rows.distinct() if about <= task else rows.repartition(-(-about // task), *rows.columns).distinct()
 
 
+def dealt_by_size(rows: DataFrame, key: str, size: Column, task: int = TASK_TEXT) -> DataFrame:
+    """``rows`` with those of a key in one task, in tasks of about ``task`` in all of ``size``.
+
+    What is then grouped by the key and more needs no further shuffle. Where a single key
+    would fill many tasks, the rows stay as they are, and Spark shuffles partial groups.
+    """
+    total, most = rows.groupBy(key).agg(F.sum(size).alias("__size")).agg(F.sum("__size"), F.max("__size")).first()
+    if not total or most > task * TASKS_OF_KEY:
+        return rows
+    return rows.repartition(max(-(-total // task), rows.sparkSession.sparkContext.defaultParallelism), key)
+
+
+def join_frequent(rows: DataFrame, table: DataFrame, keys: Sequence[str], count: str, most: int = FREQUENT_KEYS) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, one row per key, whose ``count`` says how many rows have the key.
+
+    The most frequent keys, ``most`` of them at most, are broadcast, and their rows stay where
+    they are; only rows of the rarer keys are shuffled. Both inputs are read more than once.
+    """
+    digits = F.length(F.bin(count))
+    # a row per power of two
+    sizes = dict(table.groupBy(digits.alias("digits")).agg(F.count("*").alias("n")).collect())
+    least, frequent = max(sizes, default=0) + 1, 0
+    while least > 1 and frequent + sizes.get(least - 1, 0) <= most:
+        least -= 1
+        frequent += sizes.get(least, 0)
+    if least == 1:
+        return rows.join(F.broadcast(table), list(keys))
+    if not frequent:
+        return rows.join(table, list(keys))
+    hot, rare = F.broadcast(table.where(digits >= least)), table.where(digits < least)
+    return rows.join(hot, list(keys)).unionByName(rows.join(hot.select(*keys), list(keys), "left_anti").join(rare, list(keys)))
+
+
 def expand_ids(rows: DataFrame, collections: DataFrame, item_rule: Column) -> DataFrame:
     """``id`` to ``item``: an item stays, a collection becomes its items, another id goes."""
     items = rows.where(item_rule).withColumn("item", F.col("id"))
@@ -76,13 +113,13 @@ def term_frequency(tags: DataFrame) -> DataFrame:
     return tags.groupBy("channel", "item", "tag").agg(F.count("*").alias("tf"))
 
 
-def inverse_frequency(tf: DataFrame, items: DataFrame | None = None) -> DataFrame:
-    """(channel, tag, idf) with idf = ln((N + 1) / (df + 1)), N the rows of the channel."""
+def inverse_frequency(tf: DataFrame, items: DataFrame | None = None, with_df: bool = False) -> DataFrame:
+    """(channel, tag, idf[, df]) with idf = ln((N + 1) / (df + 1)), N the rows of the channel."""
     of = tf if items is None else items
     sizes = of.select("channel", "item").distinct().groupBy("channel").agg(F.count("*").alias("n"))
     df = tf.groupBy("channel", "tag").agg(F.count("*").alias("df"))
     # a catalogue has a handful of channels, so the table of their sizes is small by construction
-    return df.join(F.broadcast(sizes), "channel").select("channel", "tag", F.log((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
+    return df.join(F.broadcast(sizes), "channel").select("channel", "tag", F.log((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"), *(["df"] if with_df else []))
 
 
 def sum_merge(rows: DataFrame, keys: Sequence[str], value: str = "weight", digits: int = 9) -> DataFrame:

@@ -37,6 +37,15 @@ def channel_tags(catalogue: DataFrame, item: str, channels: Sequence[Channel], k
     return long if known is None else O.lookup(long, O.small(known), "tag", "tag_id", X.tag_id_hash(F.col("tag")))
 
 
+def text_tags(texts: DataFrame, item: str, text: str, channel: str, weight: float = 1.0) -> DataFrame:
+    """(channel, item, tag, channel_weight) of all words of whole texts.
+
+    Texts are shuffled, not their many more bytes of counted words.
+    """
+    dealt = O.dealt_by_size(texts.select(F.col(item).alias("item"), F.col(text).alias("text")), "item", F.octet_length("text"))
+    return dealt.select(F.lit(channel).alias("channel"), "item", F.explode(X.word_tokens(F.col("text"))).alias("tag"), F.lit(weight).alias("channel_weight"))
+
+
 def collection_tags(collections: DataFrame, members: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(item, tag): the tags of a collection on each of its items."""
     pushed = collections.select("collection", "tag").distinct().join(members.select("collection", "item").distinct(), "collection").select("item", "tag").distinct()
@@ -59,11 +68,16 @@ def tf_idf(tags: DataFrame, tf_mode: str = "linear") -> DataFrame:
 
     ``tf_mode`` "per_occurrence" counts each occurrence with its tf, so tf squared. Texts
     are split once: the counts are written to the shared folder, and document counts,
-    channel sizes and weights are made from them.
+    channel sizes and weights are made from them. Large ones meet the frequent tags'
+    document counts where they are, without a shuffle.
     """
     tf = written(tags.groupBy("channel", "item", "tag").agg(F.count("*").alias("tf"), F.max("channel_weight").alias("channel_weight")), "tf")
     power = F.col("tf") if tf_mode == "linear" else F.col("tf") * F.col("tf")
-    return tf.join(O.inverse_frequency(tf), ["channel", "tag"]).select("channel", "item", "tag", F.round(power * F.col("idf") * F.col("channel_weight"), 9).alias("weight"))
+    if tf.count() <= O.BROADCAST_ROWS:
+        joined = tf.join(O.inverse_frequency(tf), ["channel", "tag"])
+    else:
+        joined = O.join_frequent(tf, written(O.inverse_frequency(tf, with_df=True), "idf"), ["channel", "tag"], "df")
+    return joined.select("channel", "item", "tag", F.round(power * F.col("idf") * F.col("channel_weight"), 9).alias("weight"))
 
 
 def merge_tags(weighted: DataFrame, count: int = 30, left_out: Sequence[str] = ()) -> DataFrame:

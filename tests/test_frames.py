@@ -1,6 +1,7 @@
 """DataFrame operators, sources and payloads on small rows."""
 
 import math
+from functools import partial
 
 import numpy as np
 import pytest
@@ -97,6 +98,33 @@ def test_tf_idf_modes(spark):
     assert squared[1] == pytest.approx(2 * linear[1])
 
 
+def test_tf_idf_of_many_rows_is_that_of_few(spark, monkeypatch):
+    """Frequent tags are broadcast and the rarer ones shuffled: same weights, in all channels, and none for null tags."""
+    words = [(c, i, t, 2.0) for c in ("c", "d") for i in range(12) for t in ["all", "all", f"two{i // 2}", f"one{i}", None] + ["half"] * (i % 2)]
+    frame = spark.createDataFrame(words, "channel string, item int, tag string, channel_weight double")
+    want = rows(T.tf_idf(frame, "per_occurrence"), "channel", "item", "tag", "weight")
+    assert len(want) == 2 * (12 * 3 + 6)
+    monkeypatch.setattr(O, "BROADCAST_ROWS", 0)
+    assert rows(T.tf_idf(frame, "per_occurrence"), "channel", "item", "tag", "weight") == want
+    join_frequent = O.join_frequent
+    for most in (0, 1, 4, 20):
+        monkeypatch.setattr(O, "join_frequent", partial(join_frequent, most=most))
+        assert rows(T.tf_idf(frame, "per_occurrence"), "channel", "item", "tag", "weight") == want
+
+
+def test_texts_are_dealt_by_item_and_their_counts_not_shuffled_again(spark):
+    texts = spark.createDataFrame([(1, "The big, BIG cat a"), (1, "cat 7"), (2, "cat"), (None, "öl cat"), (3, None), (4, "")], "id long, body string")
+    counts = T.text_tags(texts, "id", "body", "text").groupBy("channel", "item", "tag").count()
+    assert counts._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {(r["item"], r["tag"], r["count"]) for r in counts.collect()} == {(1, "the", 1), (1, "big", 2), (1, "cat", 2), (2, "cat", 1), (None, "öl", 1), (None, "cat", 1)}
+    # a key that would fill many tasks does not meet in one
+    size = F.octet_length("body")
+    assert O.dealt_by_size(texts, "id", size, task=1) is texts
+    assert O.dealt_by_size(texts, "id", size, task=8).rdd.getNumPartitions() >= 4
+    for none in (texts.where("false"), texts.where("body is null")):
+        assert T.text_tags(none, "id", "body", "text").collect() == []
+
+
 def test_cold_scope(spark):
     lists = spark.createDataFrame([("t", 1, 1.0), ("t", 2, 1.0)], "tag string, item int, weight double")
     log = spark.createDataFrame([(1, 3), (1, 3), (2, 1)], "item int, exposure int")
