@@ -9,7 +9,7 @@ from tagloom.operators import cosine as C
 from tagloom.operators import frames as O
 from tagloom.plans import tags as T
 from tagloom.plans import views as V
-from tagloom.plans.demo_basic import COSINE, collection_vectors, item_vectors
+from tagloom.plans.demo_basic import COSINE, vectors
 from tagloom.plans.registry import query
 
 FIRST_LINE = "split_part(coalesce(text, ''), chr(10), 1)"
@@ -155,7 +155,7 @@ def f_scale(spark, d):
 
 @query(COSINE + "SELECT item, other, round(cosine, 9) AS cosine FROM cos WHERE cosine > 0.3")
 def f_cosine(spark, d):
-    return C.cosine_pairs(item_vectors(spark, d), collection_vectors(spark, d), min_cosine=0.3)
+    return C.cosine_pairs(*vectors(spark, d), min_cosine=0.3)
 
 
 @query(

@@ -258,3 +258,17 @@ def test_rollup_is_sized_by_the_rows_it_makes(spark, monkeypatch):
 def test_month_is_cut_before_its_orders_join(spark):
     plan = V.month(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "o_orderkey" in next(line for line in plan.splitlines() if "Join" in line)
+
+
+@pytest.mark.parametrize("entries", [1_000_000, 0])
+def test_collections_are_sums_of_their_items(spark, entries):
+    """By kinds of vectors or by items: equal vectors count once for each item."""
+    vectors = {i: {f"t{i % 3}": 0.5 + i % 2, "all": 0.25} for i in range(40)}
+    members = [(c, i) for i in range(40) for c in (7, i % 5)] + [(9, 99)]
+    want = {}
+    for c, i in set(members):
+        for t, v in vectors.get(i, {}).items():
+            want[c, t] = want.get((c, t), 0) + v
+    rows = spark.createDataFrame([(i, t, v) for i, own in vectors.items() for t, v in own.items()], "item long, idx string, val double")
+    got = I.collection_sums(rows, spark.createDataFrame(sorted(set(members)), "collection long, item long"), entries, task=10).collect()
+    assert {(r["other"], r["idx"]): r["val"] for r in got} == want and len(got) == len(want)
